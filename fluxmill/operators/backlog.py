@@ -12,8 +12,9 @@ from fluxmill.functions.numbers import round_to
 BLOCK = 1024
 
 
-def _bucket_changes(events: DataFrame, keys: list[str], bucket_sec: int) -> DataFrame:
+def bucket_changes(events: DataFrame, bucket_sec: int, keys: list[str] | None = None) -> DataFrame:
     """Net change per bucket from one scan: +1 when an event is stamped, -1 when it is received."""
+    keys = keys or []
     width = F.lit(bucket_sec * MICROS)
 
     def bucket(column: str):
@@ -27,18 +28,17 @@ def _bucket_changes(events: DataFrame, keys: list[str], bucket_sec: int) -> Data
         events.select(*keys, F.inline(steps))
         .groupBy(*keys, "bucket")
         .agg(F.sum("step").alias("change"))
-        .withColumn("block", F.floor(F.col("bucket") / BLOCK))
     )
 
 
-def backlog_depth(events: DataFrame, bucket_sec: int, keys: list[str] | None = None) -> DataFrame:
+def depth_of(changes: DataFrame, bucket_sec: int, keys: list[str] | None = None) -> DataFrame:
     """Depth at the end of each bucket in which it was touched, and for how many buckets it held.
 
     Columns (keys, bucket_start_s, depth, held_buckets). Quiet buckets are counted, not made, so a
     single stray stamp years away costs nothing.
     """
     keys = keys or []
-    changes = _bucket_changes(events, keys, bucket_sec)
+    changes = changes.withColumn("block", F.floor(F.col("bucket") / BLOCK))
     key_columns = [F.col(k) for k in keys]
     in_block = Window.partitionBy(*key_columns, "block").orderBy("bucket")
     across = Window.partitionBy(*key_columns, F.lit(0)).orderBy("block")
@@ -73,6 +73,10 @@ def backlog_depth(events: DataFrame, bucket_sec: int, keys: list[str] | None = N
     )
 
 
+def backlog_depth(events: DataFrame, bucket_sec: int, keys: list[str] | None = None) -> DataFrame:
+    return depth_of(bucket_changes(events, bucket_sec, keys), bucket_sec, keys)
+
+
 def depth_summary(depth: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Largest depth, and the mean over all buckets from the first to the last."""
     held = F.sum(F.col("depth") * F.col("held_buckets"))

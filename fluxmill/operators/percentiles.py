@@ -1,4 +1,4 @@
-"""Exact floor-rank percentiles per key without sorting a key's rows in one place.
+"""Exact values at given ranks per key without sorting a key's rows in one place.
 
 The p-th percentile of n values is the one at 1-based rank max(1, floor(n * p / 100)). Ranks are
 found top-down over value ranges, as when refining a histogram:
@@ -50,57 +50,65 @@ def _join(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
     return left.join(right, condition, "inner").drop(*[f"right_{name}" for name in names])
 
 
-def floor_rank_percentiles(
+def values_at_ranks(
     df: DataFrame,
     keys: list[str],
     value: str,
-    percents: list[int],
+    ranks: dict[str, Column],
     weight: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per key with bigint columns p<percent>. `value` is bigint, `weight` a row count."""
+    """One row per key, with a bigint column per entry of `ranks`.
+
+    A rank is an expression over `total`, the key's number of values; 1 is the smallest. `value` is
+    bigint. `weight` names a row count for tables that are counted already.
+    """
     counts = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     rows = df.select(*keys, F.col(value).cast("bigint").alias("v"), counts.alias("w"))
     rows = rows.where(F.col("v").isNotNull()).withColumn("mid", F.shiftright("v", FINE_BITS))
 
-    mid = stored(_counted(rows, keys, F.col("mid"), "mid", "w"), "latency-ranges")
-    mid = mid.withColumn("top", F.shiftright("mid", COARSE_BITS))
-
+    mid = _counted(rows, keys, F.col("mid"), "mid", "w").withColumn("top", F.shiftright("mid", COARSE_BITS))
     top = mid.groupBy(*keys, "top").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy(*[F.col(k) for k in keys], F.lit(0)))
-    ranks = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("percent"),
-                F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("total") * p / 100)).alias("rank"),
-            )
-            for p in percents
-        ]
+    wanted = F.array(
+        *[F.struct(F.lit(name).alias("pick"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()]
     )
     in_top = (
         top.withColumns({"before": _before(keys, "top"), "total": total})
-        .select(*keys, "top", "n", "before", F.inline(ranks))
+        .select(*keys, "top", "n", "before", F.inline(wanted))
         .transform(_holding)
-        .select(*keys, "top", "percent", "rank")
+        .select(*keys, "top", "pick", "rank")
     )
-
     mid = mid.withColumn("before", _before([*keys, "top"], "mid"))
-    in_mid = _join(mid, in_top, [*keys, "top"]).transform(_holding).select(*keys, "mid", "percent", "rank")
-    chosen = stored(in_mid, "latency-ranks")
+    in_mid = _join(mid, in_top, [*keys, "top"]).transform(_holding).select(*keys, "mid", "pick", "rank")
+    chosen = stored(in_mid, "value-ranges")
 
-    wanted = chosen.select(*keys, "mid").distinct()
+    ranges = chosen.select(*keys, "mid").distinct()
     if fits_broadcast(chosen, broadcast_rows):
-        rows = _join(rows, F.broadcast(wanted), [*keys, "mid"])
-        values = _counted(rows, [*keys, "mid"], F.col("v"), "v", "w")
+        values = _counted(_join(rows, F.broadcast(ranges), [*keys, "mid"]), [*keys, "mid"], F.col("v"), "v", "w")
     else:
-        values = _join(_counted(rows, [*keys, "mid"], F.col("v"), "v", "w"), wanted, [*keys, "mid"])
+        values = _join(_counted(rows, [*keys, "mid"], F.col("v"), "v", "w"), ranges, [*keys, "mid"])
 
     values = values.withColumn("before", _before([*keys, "mid"], "v"))
     found = _join(values, chosen, [*keys, "mid"]).transform(_holding)
-    picks = [F.max(F.when(F.col("percent") == p, F.col("v"))).alias(f"p{p}") for p in percents]
+    picks = [F.max(F.when(F.col("pick") == name, F.col("v"))).alias(name) for name in ranks]
     return found.groupBy(*keys).agg(*picks)
 
 
+def floor_rank_percentiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    percents: list[int],
+    weight: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """One row per key with bigint columns p<percent>."""
+    one = F.lit(1).cast("bigint")
+    ranks = {f"p{p}": F.greatest(one, F.floor(F.col("total") * p / 100)) for p in percents}
+    return values_at_ranks(df, keys, value, ranks, weight, broadcast_rows)
+
+
 def as_ms(micros: Column) -> Column:
     """Microseconds to milliseconds; three decimals, so nothing is lost."""
     return micros / F.lit(1000)

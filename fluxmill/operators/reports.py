@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxmill import constants as C
@@ -11,10 +11,11 @@ from fluxmill.functions.events import MICROS, latency_us
 from fluxmill.functions.numbers import round_to
 from fluxmill.operators.backlog import backlog_depth, depth_summary
 from fluxmill.operators.imputation import as_scalar
-from fluxmill.operators.percentiles import as_ms, floor_rank_percentiles
+from fluxmill.operators.percentiles import as_ms, floor_rank_percentiles, values_at_ranks
 from fluxmill.schemas import RUN_METRICS
 
 PERCENTILE_COLUMNS = [f"latency_p{p}_ms" for p in C.PERCENTS]
+SALTS = 64
 
 
 def _stamp_ok(events: DataFrame) -> Column:
@@ -30,33 +31,60 @@ def _per_second(count: Column, seconds: Column) -> Column:
 
 
 def recent_latency(events: DataFrame, rows: int = C.RECENT_ROWS) -> DataFrame:
-    """The latest `rows` events by receive time: a top-k, merged from one heap per task."""
+    """The latest `rows` events by receive time, then event_id.
+
+    A plain top-k would send `rows` rows of every task to one task. The receive time of the last row
+    that counts is found first and becomes a filter; rows that share it are ranked in SALTS parts.
+    """
+    cutoff_rank = {"cutoff": F.greatest(F.lit(1).cast("bigint"), F.col("total") - (rows - 1))}
+    cutoff = values_at_ranks(events.withColumn("all", F.lit(1)), ["all"], "receive_us", cutoff_rank)
+    latest_first = [F.desc("receive_us"), F.desc("event_id")]
+    part = F.pmod(F.xxhash64("event_id"), F.lit(SALTS))
     return (
         events.select("event_id", "receive_us", latency_us().alias("latency_us"))
-        .orderBy(F.desc("receive_us"), F.desc("event_id"))
+        .where(F.col("receive_us") >= as_scalar(cutoff.select("cutoff")).getField("cutoff"))
+        .withColumn("place", F.row_number().over(Window.partitionBy(part).orderBy(*latest_first)))
+        .where(F.col("place") <= rows)
+        .drop("place")
+        .orderBy(*latest_first)
         .limit(rows)
     )
 
 
-def _report_percentiles(events: DataFrame, keys: list[str]) -> DataFrame:
-    found = floor_rank_percentiles(events, keys, "latency_us", C.PERCENTS)
+def _report_percentiles(events: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
+    found = floor_rank_percentiles(events, keys, "latency_us", C.PERCENTS, weight)
     return found.select(
         *keys, *[round_to(as_ms(F.col(f"p{p}")), 2).alias(f"latency_p{p}_ms") for p in C.PERCENTS]
     )
 
 
-def stream_summary(events: DataFrame, bucket_sec: int) -> DataFrame:
-    """One row over accepted and late events. Rows whose stamp was unusable are errors."""
-    rows = events.withColumns({"stamp_ok": _stamp_ok(events), "latency_us": latency_us()})
-    good = rows.where("stamp_ok")
-    totals = rows.agg(
-        F.count_if("stamp_ok").alias("total_processed"),
-        F.count_if(~F.col("stamp_ok")).alias("total_errors"),
-        _seconds(F.min("receive_us"), F.max("receive_us")).alias("seconds"),
+def arrivals(events: DataFrame) -> DataFrame:
+    """What the summary needs of each event; a rollup keeps the same per distinct latency."""
+    return events.select(
+        _stamp_ok(events).alias("stamp_ok"),
+        latency_us().alias("latency_us"),
+        F.lit(1).cast("bigint").alias("n"),
+        F.col("receive_us").alias("first_receive_us"),
+        F.col("receive_us").alias("last_receive_us"),
+    )
+
+
+def summary_of(arrived: DataFrame, depth: DataFrame) -> DataFrame:
+    """The one-row stream summary from arrivals and backlog depths.
+
+    Accepted and late events count alike. Rows whose stamp was unusable are errors.
+    """
+    good = F.when(F.col("stamp_ok"), F.col("n")).otherwise(0)
+    bad = F.when(F.col("stamp_ok"), 0).otherwise(F.col("n"))
+    totals = arrived.agg(
+        F.coalesce(F.sum(good), F.lit(0)).cast("bigint").alias("total_processed"),
+        F.coalesce(F.sum(bad), F.lit(0)).cast("bigint").alias("total_errors"),
+        _seconds(F.min("first_receive_us"), F.max("last_receive_us")).alias("seconds"),
         F.max(F.when(F.col("stamp_ok"), F.col("latency_us"))).alias("max_us"),
     )
-    latency = as_scalar(_report_percentiles(good.withColumn("all", F.lit(1)), ["all"]))
-    depth = as_scalar(depth_summary(backlog_depth(rows, bucket_sec)))
+    usable = arrived.where("stamp_ok").withColumn("all", F.lit(1))
+    latency = as_scalar(_report_percentiles(usable, ["all"], "n"))
+    deepest = as_scalar(depth_summary(depth))
     zero = F.lit(0.0)
     return totals.select(
         "total_processed",
@@ -65,11 +93,16 @@ def stream_summary(events: DataFrame, bucket_sec: int) -> DataFrame:
         _per_second(F.col("total_processed"), F.col("seconds")).alias("throughput_per_s"),
         *[F.coalesce(latency.getField(name), zero).alias(name) for name in PERCENTILE_COLUMNS],
         F.coalesce(round_to(as_ms(F.col("max_us")), 2), zero).alias("latency_max_ms"),
-        F.coalesce(depth.getField("queue_depth_max"), F.lit(0).cast("bigint")).alias("queue_depth_max"),
-        F.coalesce(depth.getField("queue_depth_avg"), zero).alias("queue_depth_avg"),
+        F.coalesce(deepest.getField("queue_depth_max"), F.lit(0).cast("bigint")).alias("queue_depth_max"),
+        F.coalesce(deepest.getField("queue_depth_avg"), zero).alias("queue_depth_avg"),
     )
 
 
+def stream_summary(events: DataFrame, bucket_sec: int) -> DataFrame:
+    """The summary over a table of events."""
+    return summary_of(arrivals(events), backlog_depth(events, bucket_sec))
+
+
 def load_levels(events: DataFrame, bucket_sec: int, level: str = "load_level") -> DataFrame:
     """Producer and consumer figures for each target rate. Few keys hold all rows, so every
     aggregate combines on the map side."""

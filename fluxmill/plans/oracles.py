@@ -365,6 +365,18 @@ def rate(count: str, low: str, high: str) -> str:
 
 FRACTION = f"((bucket_start_s - {RUN_START_S}) / {RUN_SEC}e0)"
 
+SUMMARY = f"""
+with {EVENTS}, {RAW_EVENTS}, usable as (select 1 as one, receive_us - event_us as latency_us from raw where stamp_ok),
+{ranks('usable', 'one')}, {depths('raw')}
+select (select count(*) from raw where stamp_ok) as total_processed,
+  (select count(*) from raw where not stamp_ok) as total_errors,
+  (select {rounded('(max(receive_us) - min(receive_us)) / 1e6', 2)} from raw) as elapsed_sec,
+  (select {rate('count_if(stamp_ok)', 'min(receive_us)', 'max(receive_us)')} from raw) as throughput_per_s,
+  {ms('p50')} as latency_p50_ms, {ms('p95')} as latency_p95_ms, {ms('p99')} as latency_p99_ms, {ms('top')} as latency_max_ms,
+  (select max(depth) from depth) as queue_depth_max,
+  (select {rounded('cast(sum(depth * held_buckets) as double) / sum(held_buckets)', 2)} from depth) as queue_depth_avg
+from ranked"""
+
 EVENT_ORACLES = {
     "parse_events": f"""
 with {EVENTS}, {RAW_EVENTS}
@@ -430,17 +442,8 @@ from ranked""",
 select * from ({STREAM_WINDOWS})
 where (window_start_s + {WINDOW_SEC}) * 1000 <= (
   with {EVENTS}, {ROWS} select max(event_us) // 1000 - {max(WINDOW_SEC, MAX_LAG_SEC) * 1000} from good)""",
-    "stream_summary": f"""
-with {EVENTS}, {RAW_EVENTS}, usable as (select 1 as one, receive_us - event_us as latency_us from raw where stamp_ok),
-{ranks('usable', 'one')}, {depths('raw')}
-select (select count(*) from raw where stamp_ok) as total_processed,
-  (select count(*) from raw where not stamp_ok) as total_errors,
-  (select {rounded('(max(receive_us) - min(receive_us)) / 1e6', 2)} from raw) as elapsed_sec,
-  (select {rate('count_if(stamp_ok)', 'min(receive_us)', 'max(receive_us)')} from raw) as throughput_per_s,
-  {ms('p50')} as latency_p50_ms, {ms('p95')} as latency_p95_ms, {ms('p99')} as latency_p99_ms, {ms('top')} as latency_max_ms,
-  (select max(depth) from depth) as queue_depth_max,
-  (select {rounded('cast(sum(depth * held_buckets) as double) / sum(held_buckets)', 2)} from depth) as queue_depth_avg
-from ranked""",
+    "stream_summary": SUMMARY,
+    "stream_run_summary": SUMMARY,
     "recent_latency": f"""
 with {EVENTS}
 select event_id, receive_us, receive_us - event_us as latency_us from mapped

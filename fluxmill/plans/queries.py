@@ -19,8 +19,8 @@ from fluxmill.sources import adapters as A
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import synthetic
 from fluxmill.sources import tables
-from fluxmill.streaming import late as late_stream
-from fluxmill.streaming import rollup, windows as stream_windows
+from fluxmill.streaming import asides, rollup
+from fluxmill.streaming import windows as stream_windows
 from fluxmill.streaming.progress import progress_rows
 from fluxmill.workspace import new_folder
 
@@ -345,24 +345,34 @@ def stream_closed_windows(spark, folder):
     return _exact_columns(stream_windows.read_windows(spark, path))
 
 
-@query
-def stream_window_exact(spark, folder):
-    path = new_folder(spark, "stream-rollup")
+def _run_rollup(spark: SparkSession, events: DataFrame, path: str) -> None:
     writer = rollup.rollup_writer(
-        _event_stream(spark, folder), f"{path}/tables", f"{path}/checkpoint", WINDOW_SEC, MAX_LAG_SEC
+        events, f"{path}/tables", f"{path}/checkpoint", WINDOW_SEC, MAX_LAG_SEC, BUCKET_SEC
     )
     stream_windows.run_available(writer)
-    return _flat(rollup.read_rollup(spark, f"{path}/tables", WINDOW_SEC))
+
+
+@query
+def stream_window_exact(spark, folder):
+    path = new_folder(spark, "stream-rollup")
+    _run_rollup(spark, _event_stream(spark, folder), path)
+    return _flat(rollup.read_windows(spark, f"{path}/tables", WINDOW_SEC))
+
+
+@query
+def stream_run_summary(spark, folder):
+    path = new_folder(spark, "stream-summary")
+    raw = A.raw_events_from_log(tables.stream_event_log(spark, folder))
+    _run_rollup(spark, EF.parse_events(raw), path)
+    return rollup.read_summary(spark, f"{path}/tables", BUCKET_SEC)
 
 
 @query
 def stream_late(spark, folder):
     path = new_folder(spark, "stream-late")
-    writer = late_stream.late_writer(
-        _event_stream(spark, folder), f"{path}/late", f"{path}/checkpoint", WINDOW_SEC, MAX_LAG_SEC
-    )
-    stream_windows.run_available(writer)
-    return late_stream.late_per_window(spark.read.parquet(f"{path}/late"))
+    rows = asides.set_aside(_event_stream(spark, folder), WINDOW_SEC, MAX_LAG_SEC)
+    stream_windows.run_available(asides.append_writer(rows, f"{path}/asides", f"{path}/checkpoint"))
+    return asides.late_per_window(spark.read.parquet(f"{path}/asides"))
 
 
 @query
@@ -370,9 +380,7 @@ def stream_quarantine(spark, folder):
     path = new_folder(spark, "stream-quarantine")
     lines = A.event_lines_from_log(tables.stream_event_log(spark, folder))
     corrupt = EF.quarantined(EF.decode_lines(lines)).select("line_id", F.col("_corrupt_record").alias("line"))
-    stream_windows.run_available(
-        late_stream.quarantine_writer(corrupt, f"{path}/corrupt", f"{path}/checkpoint")
-    )
+    stream_windows.run_available(asides.append_writer(corrupt, f"{path}/corrupt", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/corrupt").select("line_id", F.lit(1).alias("corrupt"))
 
 
@@ -398,7 +406,7 @@ def stream_dedup_events(spark, folder):
     path = new_folder(spark, "stream-dedup")
     replayed = A.with_replays(_event_stream(spark, folder), REPLAY_DELAY_US)
     unique = dedup.stream_dedup(replayed, DEDUP_DELAY_SEC).select("event_id", "user_id", "event_type", "event_us")
-    writer = late_stream.append_writer(unique, f"{path}/unique", f"{path}/checkpoint")
+    writer = asides.append_writer(unique, f"{path}/unique", f"{path}/checkpoint")
     stream_windows.run_available(writer)
     return spark.read.parquet(f"{path}/unique")
 

@@ -1,8 +1,8 @@
-"""Exact window report from a stream, as rollup tables that each micro-batch adds to.
+"""Exact reports from a stream, as rollup tables that each micro-batch adds to.
 
-A batch contributes partial sums per (window, type), its distinct (window, user) pairs and its
-latency counts. All three merge on read, so no state is held and nothing has to be kept in memory
-per window; late rows are counted beside the others.
+A batch contributes partial sums per (window, type), its distinct (window, user) pairs, its latency
+counts and its backlog changes. All merge on read, so no state is held and nothing has to be kept
+in memory per window; late rows are counted beside the others.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from fluxmill import constants as C
 from fluxmill.operators import windows as W
+from fluxmill.operators.backlog import bucket_changes, depth_of
 from fluxmill.operators.percentiles import floor_rank_percentiles
+from fluxmill.operators.reports import summary_of
 from fluxmill.schemas import struct
 from fluxmill.sources import versions as V
 
@@ -29,16 +31,23 @@ SUMS = struct(
     clicks_sum="long",
     latency_max_us="long",
 )
-USERS = struct(
-    window_start_s="long",
-    user_id="long",
-)
+USERS = struct(window_start_s="long", user_id="long")
 LATENCY = struct(
     window_start_s="long",
+    late="boolean",
+    stamp_ok="boolean",
     latency_us="long",
     n="long",
+    first_receive_us="long",
+    last_receive_us="long",
 )
-TABLES = {"sums": SUMS, "users": USERS, "latency": LATENCY}
+CHANGES = struct(bucket="long", change="long")
+TABLES = {"sums": SUMS, "users": USERS, "latency": LATENCY, "changes": CHANGES}
+
+EVENT_COLUMNS = [
+    "window_start_s", "late", "stamp_ok", "latency_us", "event_us", "receive_us", "user_id",
+    "event_type", "session_time", "page_views", "clicks", "cart_value",
+]
 
 
 def _sums(rows: DataFrame) -> DataFrame:
@@ -50,42 +59,58 @@ def _users(rows: DataFrame) -> DataFrame:
 
 
 def _latency(rows: DataFrame) -> DataFrame:
-    return W.accepted(rows).groupBy("window_start_s", "latency_us").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("window_start_s", "late", "stamp_ok", "latency_us").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("receive_us").alias("first_receive_us"),
+        F.max("receive_us").alias("last_receive_us"),
+    )
 
 
 def rollup_writer(
-    events: DataFrame, path: str, checkpoint: str, window_sec: int = C.WINDOW_SEC, max_lag_sec: int = C.MAX_LAG_SEC
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    window_sec: int = C.WINDOW_SEC,
+    max_lag_sec: int = C.MAX_LAG_SEC,
+    bucket_sec: int = 1,
 ) -> DataStreamWriter:
-    spark = events.sparkSession
+    """`bucket_sec` is the grain of the backlog report."""
     for name, schema in TABLES.items():
-        V.start_versions(spark, schema, f"{path}/{name}")
-    rows = W.prepared(events, window_sec, max_lag_sec).select(
-        "window_start_s", "late", "latency_us", "user_id", "event_type",
-        "session_time", "page_views", "clicks", "cart_value",
-    )
+        V.start_versions(events.sparkSession, schema, f"{path}/{name}")
+    if "stamp_ok" not in events.columns:
+        events = events.withColumn("stamp_ok", F.lit(True))
+    rows = W.prepared(events, window_sec, max_lag_sec).select(*EVENT_COLUMNS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         V.write_version(_sums(batch), f"{path}/sums", batch_id)
         V.write_version(_users(batch), f"{path}/users", batch_id)
         V.write_version(_latency(batch), f"{path}/latency", batch_id)
+        V.write_version(bucket_changes(batch, bucket_sec), f"{path}/changes", batch_id)
         batch.unpersist()
 
     return rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
 
 
-def read_rollup(spark: SparkSession, path: str, window_sec: int = C.WINDOW_SEC) -> DataFrame:
-    """The same 13 columns as the batch report."""
-    sums = V.read_versions(spark, SUMS, f"{path}/sums")
-    users = V.read_versions(spark, USERS, f"{path}/users")
-    latency = V.read_versions(spark, LATENCY, f"{path}/latency")
+def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return V.read_versions(spark, TABLES[name], f"{path}/{name}")
+
 
+def read_windows(spark: SparkSession, path: str, window_sec: int = C.WINDOW_SEC) -> DataFrame:
+    """The same 13 columns as the batch window report."""
+    sums = _table(spark, path, "sums")
     late = sums.groupBy("window_start_s").agg(
         F.sum(F.when(F.col("late"), F.col("message_count")).otherwise(0)).alias("late_count")
     )
-    per_type = (
-        sums.where(~F.col("late")).groupBy("window_start_s", "event_type").agg(*W.named(W.merged()))
+    per_type = W.accepted(sums).groupBy("window_start_s", "event_type").agg(*W.named(W.merged()))
+    users = W.unique_users(_table(spark, path, "users").withColumn("late", F.lit(False)))
+    ranked = floor_rank_percentiles(
+        W.accepted(_table(spark, path, "latency")), ["window_start_s"], "latency_us", C.PERCENTS, weight="n"
     )
-    distinct_users = W.unique_users(users.withColumn("late", F.lit(False)))
-    ranked = floor_rank_percentiles(latency, ["window_start_s"], "latency_us", C.PERCENTS, weight="n")
-    return W.assembled(late, W.per_window(per_type), distinct_users, ranked, window_sec=window_sec)
+    return W.assembled(late, W.per_window(per_type), users, ranked, window_sec=window_sec)
+
+
+def read_summary(spark: SparkSession, path: str, bucket_sec: int = 1) -> DataFrame:
+    """The same row as the batch stream summary."""
+    changes = _table(spark, path, "changes").groupBy("bucket").agg(F.sum("change").alias("change"))
+    return summary_of(_table(spark, path, "latency"), depth_of(changes, bucket_sec))

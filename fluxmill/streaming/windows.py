@@ -6,12 +6,13 @@ exact state would grow with a window's events; streaming.rollup gives them exact
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fluxmill import constants as C
+from fluxmill.functions.events import MICROS
 from fluxmill.operators import windows as W
 from fluxmill.schemas import struct
 from fluxmill.sources import versions as V
@@ -37,24 +38,37 @@ WINDOW_STATE = struct(
 )
 
 
-def _type_counts() -> list:
+def _type_counts() -> list[Column]:
     known = [*C.EVENT_TYPES, C.UNKNOWN_TYPE]
     counts = [F.count_if(F.col("event_type") == t).alias(f"n_{t}") for t in known]
     return [*counts, F.count_if(~F.col("event_type").isin(known)).alias(f"n_{OTHER}")]
 
 
-def watermark_delay(window_sec: int, max_lag_sec: int) -> int:
-    """Seconds an accepted event can trail the newest one; see is_late."""
-    return max(window_sec, max_lag_sec)
+def watermark_delay(window_sec: int, max_lag_sec: int, ahead_sec: int = 0) -> int:
+    """Seconds an accepted event can trail the newest one; see is_late.
 
+    An accepted event's window ends after (receive time - max(window, max_lag)). No event in the
+    live windows is stamped more than ahead_sec after its receive time, so this delay keeps the
+    watermark below that end and Spark drops none of them.
+    """
+    return max(window_sec, max_lag_sec) + ahead_sec
 
-def window_aggregates(events: DataFrame, window_sec: int, max_lag_sec: int) -> DataFrame:
-    """Aggregates per window. Late rows are dropped before the stateful step."""
+
+def is_ahead(ahead_sec: int) -> Column:
+    """Stamped further in the future than allowed: such a row would push the watermark past others."""
+    return F.col("event_us") > F.col("receive_us") + F.lit(ahead_sec * MICROS)
+
+
+def window_aggregates(
+    events: DataFrame, window_sec: int = C.WINDOW_SEC, max_lag_sec: int = C.MAX_LAG_SEC, ahead_sec: int = 0
+) -> DataFrame:
+    """Aggregates per window. Late rows and rows from the future are left to streaming.asides."""
     rows = W.accepted(W.prepared(events, window_sec, max_lag_sec)).drop("window_start_s")
-    delay = watermark_delay(window_sec, max_lag_sec)
+    delay = watermark_delay(window_sec, max_lag_sec, ahead_sec)
     percents = [p / 100 for p in C.PERCENTS]
     return (
-        rows.withColumn("event_ts", F.timestamp_micros("event_us"))
+        rows.where(~is_ahead(ahead_sec))
+        .withColumn("event_ts", F.timestamp_micros("event_us"))
         .withWatermark("event_ts", f"{delay} seconds")
         .groupBy(F.window("event_ts", f"{window_sec} seconds"))
         .agg(
@@ -67,24 +81,23 @@ def window_aggregates(events: DataFrame, window_sec: int, max_lag_sec: int) -> D
     )
 
 
-def updates_writer(aggregates: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Each batch writes the windows it changed; readers take the latest version of a window."""
+def _versions_writer(aggregates: DataFrame, mode: str, path: str, checkpoint: str) -> DataStreamWriter:
     V.start_versions(aggregates.sparkSession, WINDOW_STATE, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         V.write_version(batch, path, batch_id)
 
-    return aggregates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return aggregates.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
 
 
-def closed_writer(aggregates: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Windows once each, when the watermark has passed their end."""
-    V.start_versions(aggregates.sparkSession, WINDOW_STATE, path)
+def updates_writer(aggregates: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Each batch writes the windows it changed; readers take the latest version of a window."""
+    return _versions_writer(aggregates, "update", path, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        V.write_version(batch, path, batch_id)
 
-    return aggregates.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+def closed_writer(aggregates: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Windows once each, when the watermark has passed their end."""
+    return _versions_writer(aggregates, "append", path, checkpoint)
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
