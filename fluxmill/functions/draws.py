@@ -1,7 +1,8 @@
-"""Seeded random draws that depend on (seed, row key) only.
+"""Seeded random draws that depend on (seed, row key, draw number) only.
 
 rand(seed) depends on how rows fall into partitions, so a re-run after an executor loss or with
-another layout would give other data. Hashing the key gives the same row anywhere.
+another layout would give other data. These draws are plain integer arithmetic on the key: the same
+row anywhere, and the same in any SQL engine.
 """
 
 from __future__ import annotations
@@ -11,19 +12,33 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD_BITS = 32
-WORDS_PER_HASH = 4
+# Largest prime below 2^31 for which x -> x^3 is one-to-one (the prime is 2 modulo 3).
+PRIME = 2_147_483_579
+LOW_BITS = 31
+LOW_MASK = 2**LOW_BITS - 1
+HIGH_FACTOR = 69_621
+ROUND_FACTOR = 16_807
+STEP = 1.0 / PRIME
 
 
-def word_hash(key: Column, seed: int, block: int) -> Column:
-    """128 hash bits for a row; each holds four independent draws."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(block)), key.cast("string")))
+def draw_constants(seed: int, number: int) -> tuple[int, int, int]:
+    """Factor and offsets of one draw; each product stays below 2^63."""
+    factor = 48_271 + 2 * number
+    first = (seed * 7_919 + number * 104_729 + 1) % PRIME
+    second = (seed * 15_485_863 + number * 32_452_843 + 2) % PRIME
+    return factor, first, second
 
 
-def uniform(hashed: Column, word: int) -> Column:
-    """A draw in the open interval (0, 1) from one 32-bit word of the hash."""
-    hex_digits = F.substring(hashed, 1 + 8 * word, 8)
-    return (F.conv(hex_digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(2.0**WORD_BITS)
+def _cubed(x: Column) -> Column:
+    return x * (x * x % PRIME) % PRIME
+
+
+def uniform(key: Column, seed: int, number: int) -> Column:
+    """A draw in the open interval (0, 1): two rounds of an affine step and a cube modulo the prime."""
+    factor, first, second = draw_constants(seed, number)
+    low, high = key.bitwiseAND(LOW_MASK), F.shiftright(key, LOW_BITS) % PRIME
+    start = (low * factor + high * HIGH_FACTOR + first) % PRIME
+    return (_cubed((_cubed(start) * ROUND_FACTOR + second) % PRIME) + F.lit(0.5)) * F.lit(STEP)
 
 
 def uniform_int(u: Column, low: int, high: int) -> Column:
@@ -35,9 +50,10 @@ def exponential(u: Column, scale: float) -> Column:
     return F.lit(-scale) * F.ln(u)
 
 
-def standard_normal(u1: Column, u2: Column) -> Column:
-    """Box-Muller."""
-    return F.sqrt(F.lit(-2.0) * F.ln(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
+def normal_pair(u1: Column, u2: Column) -> tuple[Column, Column]:
+    """Two independent standard normal draws from two uniform ones (Box-Muller)."""
+    radius, angle = F.sqrt(F.lit(-2.0) * F.ln(u1)), F.lit(2.0 * math.pi) * u2
+    return radius * F.cos(angle), radius * F.sin(angle)
 
 
 def clipped(value: Column, low: float, high: float) -> Column:
@@ -45,10 +61,10 @@ def clipped(value: Column, low: float, high: float) -> Column:
 
 
 def cumulative_poisson(mean: float) -> list[float]:
-    """P(X <= k) for k = 0, 1, ... until the tail is under one 32-bit step."""
+    """P(X <= k) for k = 0, 1, ... until the tail is below the finest draw."""
     term = math.exp(-mean)
     total, k, table = term, 0, [term]
-    while 1.0 - total > 2.0**-WORD_BITS:
+    while 1.0 - total > STEP:
         k += 1
         term *= mean / k
         total += term
@@ -56,11 +72,12 @@ def cumulative_poisson(mean: float) -> list[float]:
     return table
 
 
-def _first_reached(u: Column, thresholds: list[float], results: list, last) -> Column:
-    chain = F.when(u < thresholds[0], F.lit(results[0]))
-    for edge, result in zip(thresholds[1:], results[1:]):
-        chain = chain.when(u < edge, F.lit(result))
-    return chain.otherwise(F.lit(last))
+def _first_reached(u: Column, edges: list[float], results: list, last) -> Column:
+    """Result of the first edge the draw lies below."""
+    chain = F.when(u < edges[0], results[0])
+    for edge, result in zip(edges[1:], results[1:]):
+        chain = chain.when(u < edge, result)
+    return chain.otherwise(last)
 
 
 def poisson(u: Column, mean: float) -> Column:

@@ -19,23 +19,18 @@ USER_POOL = 100_000
 
 
 def _draw_columns(keys: DataFrame, key: str, seed: int, names: list[str]) -> DataFrame:
-    """Key plus one uniform draw per name, four draws per hash."""
-    blocks = range((len(names) + D.WORDS_PER_HASH - 1) // D.WORDS_PER_HASH)
-    hashed = keys.select(
-        F.col(key).cast("bigint").alias("key"),
-        *[D.word_hash(F.col(key), seed, block).alias(f"hash{block}") for block in blocks],
-    )
-    return hashed.select(
-        "key",
-        *[
-            D.uniform(F.col(f"hash{i // D.WORDS_PER_HASH}"), i % D.WORDS_PER_HASH).alias(f"u_{name}")
-            for i, name in enumerate(names)
-        ],
+    """Key plus one uniform draw per name."""
+    number = F.col(key).cast("bigint")
+    return keys.select(
+        number.alias("key"),
+        *[D.uniform(number, seed, i).alias(f"u_{name}") for i, name in enumerate(names)],
     )
 
 
+# The generated method must stay under the 8000 bytes up to which the JVM compiles it; two draws
+# give both normal values for that reason.
 USER_DRAWS = [
-    "age", "income_a", "income_b", "session", "views", "clicks", "cart_a", "cart_b",
+    "age", "normal_a", "normal_b", "session", "views", "clicks",
     "device", "region", "income_gap", "cart_gap", "label",
 ]
 
@@ -43,23 +38,15 @@ USER_DRAWS = [
 def synth_users(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """User rows with the documented distributions; about 5 % of income and cart_value are null."""
     u = {name: F.col(f"u_{name}") for name in USER_DRAWS}
-    drawn = _draw_columns(keys, key, seed, USER_DRAWS).select(
-        "key",
-        "u_income_gap",
-        "u_cart_gap",
-        "u_label",
-        D.uniform_int(u["age"], 18, 89).alias("age"),
-        D.clipped(
-            F.lit(55000.0) + F.lit(20000.0) * D.standard_normal(u["income_a"], u["income_b"]), 10000.0, 300000.0
-        ).alias("full_income"),
-        round_to(D.clipped(D.exponential(u["session"], 15.0), 0.0, 300.0), 2).alias("session_time"),
-        D.poisson(u["views"], 8.0).alias("page_views"),
-        D.poisson(u["clicks"], 3.0).alias("clicks"),
-        D.clipped(
-            F.exp(F.lit(3.5) + F.lit(1.2) * D.standard_normal(u["cart_a"], u["cart_b"])), 0.0, 5000.0
-        ).alias("full_cart"),
-        D.weighted_choice(u["device"], C.DEVICES, C.DEVICE_WEIGHTS).alias("device_type"),
-        D.weighted_choice(u["region"], C.REGIONS, C.REGION_WEIGHTS).alias("region"),
+    for_income, for_cart = D.normal_pair(u["normal_a"], u["normal_b"])
+    income = D.clipped(F.lit(55000.0) + F.lit(20000.0) * for_income, 10000.0, 300000.0)
+    cart = D.clipped(F.exp(F.lit(3.5) + F.lit(1.2) * for_cart), 0.0, 5000.0)
+    counts = _draw_columns(keys, key, seed, USER_DRAWS).withColumns(
+        {
+            "page_views": D.poisson(u["views"], 8.0),
+            "clicks": D.poisson(u["clicks"], 3.0),
+            "full_income": income,
+        }
     )
     buys = (
         F.lit(0.05)
@@ -67,24 +54,21 @@ def synth_users(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
         + F.lit(0.002) * F.col("page_views")
         + F.lit(0.003) * F.col("clicks")
     )
-    return drawn.select(
+    return counts.select(
         F.col("key").alias("user_id"),
-        "age",
-        F.when(F.col("u_income_gap") >= 0.05, F.col("full_income")).alias("income"),
-        "session_time",
+        D.uniform_int(u["age"], 18, 89).alias("age"),
+        F.when(u["income_gap"] >= 0.05, F.col("full_income")).alias("income"),
+        round_to(D.clipped(D.exponential(u["session"], 15.0), 0.0, 300.0), 2).alias("session_time"),
         "page_views",
         "clicks",
-        F.when(F.col("u_cart_gap") >= 0.05, F.col("full_cart")).alias("cart_value"),
-        "device_type",
-        "region",
-        (F.col("u_label") < D.clipped(buys, 0.0, 1.0)).cast("tinyint").alias("label"),
+        F.when(u["cart_gap"] >= 0.05, cart).alias("cart_value"),
+        D.weighted_choice(u["device"], C.DEVICES, C.DEVICE_WEIGHTS).alias("device_type"),
+        D.weighted_choice(u["region"], C.REGIONS, C.REGION_WEIGHTS).alias("region"),
+        (u["label"] < D.clipped(buys, 0.0, 1.0)).cast("tinyint").alias("label"),
     ).select(*USERS.fieldNames())
 
 
-EVENT_DRAWS = [
-    "user", "type", "session", "views", "clicks", "cart_a", "cart_b", "device", "region",
-    "income_a", "income_b",
-]
+EVENT_DRAWS = ["user", "type", "session", "views", "clicks", "device", "region", "normal_a", "normal_b"]
 
 
 def synth_events(keys: DataFrame, key: str, start_us: int, rate: int, seed: int = 42) -> DataFrame:
@@ -98,7 +82,8 @@ def synth_events(keys: DataFrame, key: str, start_us: int, rate: int, seed: int
             "event_us": event_us,
         }
     )
-    cart = round_to(F.exp(F.lit(3.5) + F.lit(1.2) * D.standard_normal(u["cart_a"], u["cart_b"])), 2)
+    for_income, for_cart = D.normal_pair(u["normal_a"], u["normal_b"])
+    cart = round_to(F.exp(F.lit(3.5) + F.lit(1.2) * for_cart), 2)
     return drawn.select(
         F.concat_ws("-", "user_id", F.col("event_us") * 1000 + F.col("key") % 1000).alias("event_id"),
         "user_id",
@@ -110,5 +95,5 @@ def synth_events(keys: DataFrame, key: str, start_us: int, rate: int, seed: int
         F.when(F.col("event_type").isin(C.CART_TYPES), cart).otherwise(F.lit(0.0)).alias("cart_value"),
         F.element_at(F.array(*map(F.lit, C.DEVICES)), D.uniform_int(u["device"], 1, len(C.DEVICES))).alias("device_type"),
         F.element_at(F.array(*map(F.lit, C.REGIONS)), D.uniform_int(u["region"], 1, len(C.REGIONS))).alias("region"),
-        round_to(F.lit(55000.0) + F.lit(20000.0) * D.standard_normal(u["income_a"], u["income_b"]), 2).alias("income"),
+        round_to(F.lit(55000.0) + F.lit(20000.0) * for_income, 2).alias("income"),
     ).select(*EVENTS.fieldNames())
