@@ -12,17 +12,25 @@ from fluxmill.schemas import CORRUPT_COLUMN, EVENTS, EVENTS_WITH_CORRUPT
 EVENT_GLOB = "evt_*.json"
 
 
-def _json_options(glob: str) -> dict[str, str]:
-    return {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-        "pathGlobFilter": glob,
-    }
+def decode_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """JSON text in a column (files, a log topic, a landing table) to event columns.
+
+    Text that is no event stays in _corrupt_record.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    decoded = lines.withColumn("event", F.from_json(value, EVENTS_WITH_CORRUPT, options))
+    unread = F.when(F.col("event").isNull(), F.coalesce(F.col(value), F.lit("")))
+    rest = [c for c in lines.columns if c != value]
+    return decoded.select(
+        *rest,
+        *[F.col("event").getField(c).alias(c) for c in EVENTS.fieldNames()],
+        F.coalesce(F.col("event").getField(CORRUPT_COLUMN), unread).alias(CORRUPT_COLUMN),
+    )
 
 
 def read_events(spark: SparkSession, path: str, glob: str = EVENT_GLOB) -> DataFrame:
-    """Events of a directory; a line that is no event keeps its text in _corrupt_record."""
-    return spark.read.schema(EVENTS_WITH_CORRUPT).options(**_json_options(glob)).json(path)
+    """Events of a directory, one JSON object per line."""
+    return decode_lines(spark.read.option("pathGlobFilter", glob).text(path))
 
 
 def stream_events(
@@ -34,24 +42,12 @@ def stream_events(
     archive_dir: str | None = None,
 ) -> DataFrame:
     """The directory as a stream. clean_source "delete" or "archive" consumes finished files."""
-    reader = (
-        spark.readStream.schema(EVENTS_WITH_CORRUPT)
-        .options(**_json_options(glob))
-        .option("cleanSource", clean_source)
-    )
+    reader = spark.readStream.option("pathGlobFilter", glob).option("cleanSource", clean_source)
     if archive_dir:
         reader = reader.option("sourceArchiveDir", archive_dir)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
-
-
-def decode_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text in a column (a log topic, a landing table) to event columns plus _corrupt_record."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    decoded = lines.withColumn("event", F.from_json(value, EVENTS_WITH_CORRUPT, options))
-    rest = [c for c in lines.columns if c != value]
-    return decoded.select(*rest, "event.*")
+    return decode_lines(reader.text(path))
 
 
 def is_corrupt() -> Column:

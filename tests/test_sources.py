@@ -1,0 +1,110 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from fluxmill import constants as C
+from fluxmill import workspace
+from fluxmill.schemas import EVENTS, USERS
+from fluxmill.sources import event_files as EF
+from fluxmill.sources import versions as V
+from fluxmill.sources.synthetic import synth_events, synth_users
+
+FULL = dict(event_id="e1", user_id=5, event_type="click", timestamp="2024-01-02T03:04:05.000006+00:00",
+            session_time=1.5, page_views=3, clicks=1, cart_value=9.5, device_type="mobile", region="east", income=1.0)
+FULL_US = 1_704_164_645_000_006
+
+
+def lines(tmp_path, *values):
+    (tmp_path / "evt_0000000000.json").write_text("\n".join(v if isinstance(v, str) else json.dumps(v) for v in values))
+    (tmp_path / "other.json").write_text("{}")
+    return str(tmp_path)
+
+
+def without(*names):
+    return {k: v for k, v in FULL.items() if k not in names}
+
+
+def test_parse_defaults_and_fallbacks(spark, tmp_path):
+    path = lines(
+        tmp_path, FULL, {**FULL, "timestamp": "2024-01-02T03:04:05.000006Z"}, {**FULL, "timestamp": "soon"},
+        without("timestamp"), without("event_type", "cart_value", "page_views", "clicks", "user_id"),
+        {**FULL, "timestamp": "12:30:00"}, {**FULL, "event_type": None, "cart_value": None},
+    )
+    read = EF.decoded_only(EF.read_events(spark, path)).withColumn("receive_us", F.lit(77).cast("bigint"))
+    got = EF.parse_events(read).collect()
+    assert [(r.event_us, r.stamp_ok) for r in got] == [
+        (FULL_US, True), (FULL_US, True), (77, False), (77, False), (FULL_US, True), (77, False), (FULL_US, True)
+    ]
+    assert (got[4].event_type, got[4].cart_value, got[4].page_views, got[4].clicks, got[4].user_id) == (
+        "unknown", 0.0, 0, 0, None
+    )
+    assert (got[6].event_type, got[6].cart_value) == ("unknown", 0.0)
+
+
+def test_torn_line_goes_to_quarantine(spark, tmp_path):
+    torn = json.dumps(FULL)[:40]
+    read = EF.read_events(spark, lines(tmp_path, FULL, torn, "", "17"))
+    assert [r["_corrupt_record"] for r in EF.quarantined(read).collect()] == [torn, "", "17"]
+    assert EF.decoded_only(read).count() == 1
+
+
+def test_user_rows_depend_on_seed_and_key_only(spark):
+    one = synth_users(spark.range(0, 2000, 1, 1), "id", 7)
+    many = synth_users(spark.range(0, 2000, 1, 13).repartition(5), "id", 7)
+    assert one.schema.simpleString() == USERS.simpleString()
+    assert one.exceptAll(many).count() == 0
+    assert one.exceptAll(synth_users(spark.range(2000), "id", 8)).count() > 1900
+
+
+def test_user_distributions(spark):
+    users = synth_users(spark.range(200_000), "id")
+    row = users.agg(
+        F.count("*").alias("n"), F.min("age").alias("a0"), F.max("age").alias("a1"), F.avg("age").alias("age"),
+        F.avg("income").alias("income"), F.stddev("income").alias("income_sd"), F.avg("session_time").alias("session"),
+        F.avg("page_views").alias("views"), F.variance("page_views").alias("views_var"), F.avg("clicks").alias("clicks"),
+        F.percentile_approx("cart_value", 0.5).alias("cart"), F.avg(F.col("income").isNull().cast("int")).alias("gap"),
+        F.avg("label").alias("label"),
+    ).first()
+    assert (row.n, row.a0, row.a1) == (200_000, 18, 89)
+    assert row.age == pytest.approx(53.5, abs=0.2)
+    assert row.income == pytest.approx(55_100, rel=0.01) and row.income_sd == pytest.approx(19_800, rel=0.02)
+    assert row.session == pytest.approx(15, rel=0.01)
+    assert row.views == pytest.approx(8, rel=0.01) and row.views_var == pytest.approx(8, rel=0.02)
+    assert row.clicks == pytest.approx(3, rel=0.01)
+    assert row.cart == pytest.approx(2.718281828**3.5, rel=0.02)
+    assert row.gap == pytest.approx(0.05, abs=0.003) and row.label == pytest.approx(0.0915, abs=0.004)
+    shares = {r.region: r["count"] / 200_000 for r in users.groupBy("region").count().collect()}
+    assert all(shares[v] == pytest.approx(w, abs=0.005) for v, w in zip(C.REGIONS, C.REGION_WEIGHTS))
+
+
+def test_event_rows(spark):
+    events = synth_events(spark.range(0, 20_000, 1, 3), "id", 1_704_067_200_000_000, 100)
+    assert events.schema.simpleString() == EVENTS.simpleString()
+    assert events.select("event_id").distinct().count() == 20_000
+    assert events.where("event_type not in ('add_to_cart', 'purchase') and cart_value <> 0").count() == 0
+    assert events.where("event_type in ('add_to_cart', 'purchase') and cart_value <= 0").count() == 0
+    assert events.agg(F.min("timestamp"), F.max("timestamp")).first() == (
+        "2024-01-01T00:00:00.000000+00:00", "2024-01-01T00:03:19.990000+00:00"
+    )
+    shares = {r.event_type: r["count"] / 20_000 for r in events.groupBy("event_type").count().collect()}
+    assert all(shares[v] == pytest.approx(w, abs=0.015) for v, w in zip(C.EVENT_TYPES, C.EVENT_WEIGHTS))
+
+
+def test_replayed_batch_replaces_its_version(spark):
+    path = workspace.new_folder(spark, "test-versions")
+    df = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
+    V.start_versions(spark, df.schema, path)
+    assert V.read_versions(spark, df.schema, path).count() == 0
+    V.write_version(df, path, 0)
+    V.write_version(spark.createDataFrame([(1, 11)], df.schema), path, 1)
+    V.write_version(spark.createDataFrame([(1, 12)], df.schema), path, 1)
+    got = V.latest(V.read_versions(spark, df.schema, path), ["k"])
+    assert sorted(got.collect()) == [(1, 12), (2, 20)]
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    folder = workspace.new_folder(spark, "x")
+    assert before is None or folder.startswith(before)
+    assert folder != workspace.new_folder(spark, "x")
