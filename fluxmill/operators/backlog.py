@@ -52,7 +52,8 @@ def depth_of(changes: DataFrame, bucket_sec: int, keys: list[str] | None = None)
             F.lead("first_bucket").over(across).alias("next_block_bucket"),
         )
     )
-    same_block = F.col("block") == F.col("block_id")
+    # Null-safe, so that no null filter is pushed into one side and both sides share one exchange.
+    same_block = F.col("block").eqNullSafe(F.col("block_id"))
     for key in keys:
         same_block = same_block & F.col(key).eqNullSafe(F.col(f"block_{key}"))
     following = F.coalesce("next_bucket", "next_block_bucket", F.col("bucket") + 1)

@@ -52,15 +52,24 @@ def session_count() -> Column:
 
 
 def additive() -> dict[str, Column]:
-    """Aggregates that can be summed (or maximised) again at a coarser grain."""
+    """Aggregates that can be summed (or maximised) again at a coarser grain.
+
+    Late rows count in late_count only, so one pass serves both.
+    """
+    on_time = ~F.col("late")
+
+    def of(column: str) -> Column:
+        return F.when(on_time, F.col(column))
+
     return {
-        "message_count": F.count(F.lit(1)),
-        "cart_sum": cart_sum(),
-        "session_sum": session_sum(),
-        "session_n": session_count(),
-        "views_sum": F.sum("page_views").cast("bigint"),
-        "clicks_sum": F.sum("clicks").cast("bigint"),
-        "latency_max_us": F.max("latency_us"),
+        "message_count": F.count_if(on_time),
+        "late_count": F.count_if("late"),
+        "cart_sum": F.sum(F.when(on_time & (F.col("cart_value") > 0), F.col("cart_value"))),
+        "session_sum": F.sum(F.nullif(of("session_time"), F.lit(0.0))),
+        "session_n": F.count(F.nullif(of("session_time"), F.lit(0.0))),
+        "views_sum": F.sum(of("page_views")).cast("bigint"),
+        "clicks_sum": F.sum(of("clicks")).cast("bigint"),
+        "latency_max_us": F.max(of("latency_us")),
     }
 
 
@@ -98,8 +107,8 @@ def report_columns() -> dict[str, Column]:
 
 
 def type_map() -> Column:
-    """Counts by type as one map, ordered by type."""
-    entries = F.collect_list(F.struct("event_type", "message_count"))
+    """Counts by type as one map, ordered by type; types with late events only are left out."""
+    entries = F.collect_list(F.when(F.col("message_count") > 0, F.struct("event_type", "message_count")))
     return F.map_from_entries(F.array_sort(entries))
 
 
@@ -163,21 +172,20 @@ def window_latency(rows: DataFrame) -> DataFrame:
 # -- the whole window row --
 
 def assembled(parts: DataFrame, *others: DataFrame, window_sec: int) -> DataFrame:
-    """The 13 report columns from per-window parts; windows without accepted events show zeros."""
+    """The 13 report columns from per-window parts; windows with late events only show zeros."""
     joined = reduce(lambda left, right: left.join(right, "window_start_s", "left"), others, parts)
-    zero = F.lit(0).cast("bigint")
-    empty = F.create_map().cast("map<string,bigint>")
     start = F.col("window_start_s")
+    rounded = report_columns()
     return joined.select(
         E.iso_utc(start).alias("window_start"),
         E.iso_utc(start + window_sec).alias("window_end"),
-        F.coalesce("message_count", zero).alias("message_count"),
-        F.coalesce("late_count", zero).alias("late_count"),
-        F.coalesce("unique_users", zero).alias("unique_users"),
-        F.coalesce("event_counts", empty).alias("event_counts"),
-        *[column.alias(name) for name, column in report_columns().items() if name != "latency_max_ms"],
+        "message_count",
+        "late_count",
+        F.coalesce("unique_users", F.lit(0).cast("bigint")).alias("unique_users"),
+        "event_counts",
+        *[rounded[name].alias(name) for name in ("total_cart_value", "avg_session_time", "click_through_rate")],
         *[F.coalesce(as_ms(F.col(f"p{p}")), F.lit(0.0)).alias(f"latency_p{p}_ms") for p in C.PERCENTS],
-        report_columns()["latency_max_ms"].alias("latency_max_ms"),
+        rounded["latency_max_ms"].alias("latency_max_ms"),
     )
 
 
@@ -187,10 +195,11 @@ def per_window(per_type: DataFrame) -> DataFrame:
 
 
 def window_metrics(events: DataFrame, window_sec: int = C.WINDOW_SEC, max_lag_sec: int = C.MAX_LAG_SEC) -> DataFrame:
-    """The full window report. Persist `events` first when reading it is costly (JSON)."""
+    """The full window report, in four passes over the columns each needs.
+
+    Persist `events` first when reading it is costly (JSON).
+    """
     rows = prepared(events, window_sec, max_lag_sec)
-    good = accepted(rows)
-    per_type = good.groupBy("window_start_s", "event_type").agg(*named(additive()))
-    late = rows.groupBy("window_start_s").agg(F.count_if("late").alias("late_count"))
-    latency = floor_rank_percentiles(good, ["window_start_s"], "latency_us", C.PERCENTS)
-    return assembled(late, per_window(per_type), unique_users(rows), latency, window_sec=window_sec)
+    per_type = rows.groupBy("window_start_s", "event_type").agg(*named(additive()))
+    latency = floor_rank_percentiles(accepted(rows), ["window_start_s"], "latency_us", C.PERCENTS)
+    return assembled(per_window(per_type), unique_users(rows), latency, window_sec=window_sec)

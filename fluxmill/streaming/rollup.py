@@ -22,8 +22,8 @@ from fluxmill.sources import versions as V
 SUMS = struct(
     window_start_s="long",
     event_type="string",
-    late="boolean",
     message_count="long",
+    late_count="long",
     cart_sum="double",
     session_sum="double",
     session_n="long",
@@ -51,7 +51,7 @@ EVENT_COLUMNS = [
 
 
 def _sums(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("window_start_s", "event_type", "late").agg(*W.named(W.additive()))
+    return rows.groupBy("window_start_s", "event_type").agg(*W.named(W.additive()))
 
 
 def _users(rows: DataFrame) -> DataFrame:
@@ -99,15 +99,12 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
 def read_windows(spark: SparkSession, path: str, window_sec: int = C.WINDOW_SEC) -> DataFrame:
     """The same 13 columns as the batch window report."""
     sums = _table(spark, path, "sums")
-    late = sums.groupBy("window_start_s").agg(
-        F.sum(F.when(F.col("late"), F.col("message_count")).otherwise(0)).alias("late_count")
-    )
-    per_type = W.accepted(sums).groupBy("window_start_s", "event_type").agg(*W.named(W.merged()))
+    per_type = sums.groupBy("window_start_s", "event_type").agg(*W.named(W.merged()))
     users = W.unique_users(_table(spark, path, "users").withColumn("late", F.lit(False)))
     ranked = floor_rank_percentiles(
         W.accepted(_table(spark, path, "latency")), ["window_start_s"], "latency_us", C.PERCENTS, weight="n"
     )
-    return W.assembled(late, W.per_window(per_type), users, ranked, window_sec=window_sec)
+    return W.assembled(W.per_window(per_type), users, ranked, window_sec=window_sec)
 
 
 def read_summary(spark: SparkSession, path: str, bucket_sec: int = 1) -> DataFrame:

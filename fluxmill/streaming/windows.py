@@ -26,6 +26,7 @@ TYPE_COLUMNS = [f"n_{t}" for t in [*C.EVENT_TYPES, C.UNKNOWN_TYPE, OTHER]]
 WINDOW_STATE = struct(
     window_start_s="long",
     message_count="long",
+    late_count="long",
     cart_sum="double",
     session_sum="double",
     session_n="long",
