@@ -9,14 +9,15 @@ SALTS = 16
 
 
 def dedup_events(events: DataFrame) -> DataFrame:
-    """The first received copy of each event_id.
+    """The first received copy of each event_id; events without an id are all kept.
 
     The smallest row per id, receive time first: copies combine on the map side, and the choice
     does not depend on the order in which partitions arrive.
     """
     rest = [c for c in events.columns if c not in ("event_id", "receive_us")]
     first = F.min(F.struct("receive_us", *rest)).alias("first")
-    return events.groupBy("event_id").agg(first).select("event_id", "first.*").select(*events.columns)
+    anonymous = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id()).alias("anonymous")
+    return events.groupBy("event_id", anonymous).agg(first).select("event_id", "first.*").select(*events.columns)
 
 
 def stream_dedup(events: DataFrame, delay_sec: int, salts: int = SALTS) -> DataFrame:
@@ -25,13 +26,16 @@ def stream_dedup(events: DataFrame, delay_sec: int, salts: int = SALTS) -> DataF
     Copies of one id are thinned in `salts` parts first, so that an id with many copies does not
     send them all to one task. 1 leaves that step out where ids repeat rarely.
     """
-    seen = events.withColumn("event_ts", F.timestamp_micros("event_us")).withWatermark(
-        "event_ts", f"{delay_sec} seconds"
-    )
+    seen = events.withColumns(
+        {
+            "event_ts": F.timestamp_micros("event_us"),
+            "anonymous": F.when(F.col("event_id").isNull(), F.uuid()),
+        }
+    ).withWatermark("event_ts", f"{delay_sec} seconds")
     if salts > 1:
         seen = (
             seen.withColumn("salt", F.floor(F.rand() * salts))
-            .dropDuplicatesWithinWatermark(["event_id", "salt"])
+            .dropDuplicatesWithinWatermark(["event_id", "anonymous", "salt"])
             .drop("salt")
         )
-    return seen.dropDuplicatesWithinWatermark(["event_id"]).drop("event_ts")
+    return seen.dropDuplicatesWithinWatermark(["event_id", "anonymous"]).drop("event_ts", "anonymous")

@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fluxmill import constants as C
+from fluxmill.operators import windows as W
 from fluxmill.operators.dedup import stream_dedup
+from fluxmill.schemas import CORRUPT_COLUMN, struct
 from fluxmill.sources import event_files as EF
+from fluxmill.sources import versions as V
 from fluxmill.sources.tables import write_report
 from fluxmill.streaming import asides, rollup
 from fluxmill.streaming import windows as live
 from fluxmill.streaming.progress import progress_rows
 
+BACKLOG_BUCKET_SEC = 1
+QUARANTINE = struct(**{"receive_us": "long", CORRUPT_COLUMN: "string"})
+
 
 @dataclass
 class StreamRun:
@@ -36,34 +42,39 @@ class StreamRun:
         return f"{self.output}/{name}"
 
 
+def _exact_writer(events: DataFrame, run: StreamRun) -> DataStreamWriter:
+    """Everything without state in one query, so that each file is read and decoded once for it."""
+    spark = events.sparkSession
+    rollup.start_rollup(spark, run.path("rollup"))
+    V.start_versions(spark, asides.ASIDES, run.path("asides"))
+    V.start_versions(spark, QUARANTINE, run.path("quarantine"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        good = EF.decoded_only(batch)
+        rows = W.prepared(good, run.window_sec, run.max_lag_sec).select(*rollup.EVENT_COLUMNS)
+        rollup.add_batch(rows, run.path("rollup"), batch_id, BACKLOG_BUCKET_SEC)
+        kept = asides.set_aside(good, run.window_sec, run.max_lag_sec, run.max_lag_sec)
+        V.write_version(kept, run.path("asides"), batch_id)
+        corrupt = EF.quarantined(batch).select(*QUARANTINE.fieldNames())
+        V.write_version(corrupt, run.path("quarantine"), batch_id)
+        batch.unpersist()
+
+    checkpoint = run.path("checkpoints/exact")
+    return events.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
 def _writers(spark: SparkSession, run: StreamRun) -> dict[str, DataStreamWriter]:
-    received = EF.received_now(EF.stream_events(spark, run.source, run.glob, run.files_per_trigger))
-    events = EF.parse_events(EF.decoded_only(received))
-    if run.dedup_sec:
-        events = stream_dedup(events, run.dedup_sec)
-    ahead_sec = run.max_lag_sec
-    writers = {
-        "rollup": rollup.rollup_writer(
-            events, run.path("rollup"), run.path("checkpoints/rollup"), run.window_sec, run.max_lag_sec
-        ),
-        "asides": asides.append_writer(
-            asides.set_aside(events, run.window_sec, run.max_lag_sec, ahead_sec),
-            run.path("asides"),
-            run.path("checkpoints/asides"),
-        ),
-        "quarantine": asides.append_writer(
-            EF.quarantined(received).select("receive_us", EF.CORRUPT_COLUMN),
-            run.path("quarantine"),
-            run.path("checkpoints/quarantine"),
-        ),
-    }
+    lines = EF.stream_events(spark, run.source, run.glob, run.files_per_trigger)
+    events = EF.parse_events(EF.received_now(lines))
+    exact = stream_dedup(events, run.dedup_sec) if run.dedup_sec else events
+    writers = {"exact": _exact_writer(exact, run)}
     # A second stateful step after dedup is not allowed in update mode, so live windows need raw input.
     if run.live_windows and not run.dedup_sec:
-        writers["live"] = live.updates_writer(
-            live.window_aggregates(events, run.window_sec, run.max_lag_sec, ahead_sec),
-            run.path("live"),
-            run.path("checkpoints/live"),
+        aggregates = live.window_aggregates(
+            EF.decoded_only(events), run.window_sec, run.max_lag_sec, ahead_sec=run.max_lag_sec
         )
+        writers["live"] = live.updates_writer(aggregates, run.path("live"), run.path("checkpoints/live"))
     return writers
 
 
@@ -80,8 +91,8 @@ def _finished(spark: SparkSession, run: StreamRun, queries: dict[str, StreamingQ
 
 def summary(spark: SparkSession, run: StreamRun) -> DataFrame:
     """The run summary; undecodable lines count as errors too."""
-    corrupt = spark.read.parquet(run.path("quarantine")).count()
-    row = rollup.read_summary(spark, run.path("rollup"))
+    corrupt = V.read_versions(spark, QUARANTINE, run.path("quarantine")).count()
+    row = rollup.read_summary(spark, run.path("rollup"), BACKLOG_BUCKET_SEC)
     return row.withColumn("total_errors", F.col("total_errors") + F.lit(corrupt))
 
 

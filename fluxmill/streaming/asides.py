@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fluxmill.operators import windows as W
+from fluxmill.schemas import struct
 from fluxmill.streaming.windows import is_ahead
 
 ASIDE_COLUMNS = ["reason", "event_id", "window_start_s", "event_us", "receive_us", "latency_us"]
+ASIDES = struct(
+    reason="string", event_id="string", window_start_s="long", event_us="long", receive_us="long", latency_us="long"
+)
 
 
 def append_writer(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

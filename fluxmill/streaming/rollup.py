@@ -66,6 +66,19 @@ def _latency(rows: DataFrame) -> DataFrame:
     )
 
 
+def start_rollup(spark: SparkSession, path: str) -> None:
+    for name, schema in TABLES.items():
+        V.start_versions(spark, schema, f"{path}/{name}")
+
+
+def add_batch(rows: DataFrame, path: str, batch_id: int, bucket_sec: int) -> None:
+    """Add the prepared rows of one micro-batch; doing so again replaces what it added."""
+    V.write_version(_sums(rows), f"{path}/sums", batch_id)
+    V.write_version(_users(rows), f"{path}/users", batch_id)
+    V.write_version(_latency(rows), f"{path}/latency", batch_id)
+    V.write_version(bucket_changes(rows, bucket_sec), f"{path}/changes", batch_id)
+
+
 def rollup_writer(
     events: DataFrame,
     path: str,
@@ -75,18 +88,14 @@ def rollup_writer(
     bucket_sec: int = 1,
 ) -> DataStreamWriter:
     """`bucket_sec` is the grain of the backlog report."""
-    for name, schema in TABLES.items():
-        V.start_versions(events.sparkSession, schema, f"{path}/{name}")
+    start_rollup(events.sparkSession, path)
     if "stamp_ok" not in events.columns:
         events = events.withColumn("stamp_ok", F.lit(True))
     rows = W.prepared(events, window_sec, max_lag_sec).select(*EVENT_COLUMNS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        V.write_version(_sums(batch), f"{path}/sums", batch_id)
-        V.write_version(_users(batch), f"{path}/users", batch_id)
-        V.write_version(_latency(batch), f"{path}/latency", batch_id)
-        V.write_version(bucket_changes(batch, bucket_sec), f"{path}/changes", batch_id)
+        add_batch(batch, path, batch_id, bucket_sec)
         batch.unpersist()
 
     return rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -103,3 +103,8 @@ def test_dedup_keeps_the_first_received(spark):
         (r["event_id"], r["receive_us"], r["cart_value"]) for r in rows
     ]
     assert START_US <= got[0].event_us
+
+
+def test_dedup_keeps_events_without_an_id(spark):
+    rows = [{**r, "event_id": None} for r in random_events(5)]
+    assert dedup_events(frame(spark, rows + rows)).count() == 10

@@ -124,6 +124,7 @@ def test_late_rows_are_kept(spark):
 def test_dedup_across_micro_batches(spark):
     rows = random_events(60, span_sec=60, max_lag_sec=1)
     replays = [{**r, "receive_us": r["receive_us"] + 5_000_000} for r in rows[::3]]
+    replays += [rows[0]] * 40
     path = new_folder(spark, "test-dedup")
     receive_ordered(spark, f"{path}/in", rows + replays, 4)
     unique = stream_dedup(source(spark, f"{path}/in"), 600).select("event_id")
@@ -131,6 +132,23 @@ def test_dedup_across_micro_batches(spark):
     assert sorted(r.event_id for r in spark.read.parquet(f"{path}/out").collect()) == [r["event_id"] for r in rows]
 
 
+def test_stream_dedup_keeps_events_without_an_id(spark):
+    rows = [{**r, "event_id": None} for r in random_events(6)]
+    path = new_folder(spark, "test-dedup-null")
+    receive_ordered(spark, f"{path}/in", rows, 2)
+    unique = stream_dedup(source(spark, f"{path}/in"), 600).select("event_us")
+    live.run_available(asides.append_writer(unique, f"{path}/out", f"{path}/cp"))
+    assert spark.read.parquet(f"{path}/out").count() == 6
+
+
+def test_stream_run_with_dedup(spark, tmp_path):
+    queue(tmp_path / "q", [event_text(i % 4) for i in range(10)] + ["{torn", "{torn"])
+    run = stream_job.StreamRun(str(tmp_path / "q"), str(tmp_path / "out"), dedup_sec=60)
+    stream_job.run_available(spark, run)
+    row = stream_job.summary(spark, run).first()
+    assert (row.total_processed, row.total_errors) == (4, 2)
+
+
 def test_progress_rows(spark):
     path = new_folder(spark, "test-progress")
     receive_ordered(spark, f"{path}/in", random_events(40), 2)
