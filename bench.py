@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR  folder of the driver's tables   (default /root/testdata/sf0.1)
 BENCH_CPUS    local worker threads            (default 8)
-BENCH_ROWS    rows of the reference-scale feature job, 0 to leave it out (default 10,000,000)
+BENCH_ROWS    rows of the feature job at published scale, 0 to leave it out (default 10,000,000)
+BENCH_EVENTS  JSON events of the stream job, 0 to leave it out (default 100,000)
 """
 
 from __future__ import annotations
@@ -18,10 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from fluxmill.plans.feature_job import run_feature_job  # noqa: E402
+from fluxmill.operators.imputation import cast_users  # noqa: E402
+from fluxmill.operators.profiles import fit_profile  # noqa: E402
+from fluxmill.plans.feature_table import transform  # noqa: E402
 from fluxmill.plans.queries import REGISTRY  # noqa: E402
-from fluxmill.sources.synthetic import synth_users  # noqa: E402
-from fluxmill.sources.tables import read_users  # noqa: E402
+from fluxmill.plans.stream_job import StreamRun, run_available  # noqa: E402
+from fluxmill.sources.event_files import write_event_files  # noqa: E402
+from fluxmill.sources.synthetic import synth_events, synth_users  # noqa: E402
+from fluxmill.sources.tables import read_users, write_features  # noqa: E402
 from fluxmill.workspace import new_folder  # noqa: E402
 
 QUERIES = [
@@ -70,28 +75,58 @@ def timed(action: Callable[[], None]) -> float:
     return round(time.perf_counter() - started, 3)
 
 
-def reference_scale(spark: SparkSession, rows: int, cpus: int) -> dict:
-    """The feature job at the scale of the published numbers: read, transform, write and count."""
+def folder_mb(path: str) -> float:
+    return round(sum(f.stat().st_size for f in Path(path).rglob("*.parquet")) / 1e6, 1)
+
+
+def feature_scale(spark: SparkSession, rows: int, cpus: int) -> dict:
+    """The feature job at the scale of the published numbers, by stage, with data sizes."""
     folder = new_folder(spark, "bench-users")
 
     def generate() -> None:
         synth_users(spark.range(0, rows, 1, 2 * cpus), "id").write.parquet(f"{folder}/users")
 
-    generate_sec = timed(generate)
-    job_sec = timed(lambda: run_feature_job(read_users(spark, f"{folder}/users"), f"{folder}/out"))
+    def fit() -> None:
+        fitted.append(fit_profile(cast_users(read_users(spark, f"{folder}/users"))))
+
+    def transform_write() -> None:
+        write_features(transform(read_users(spark, f"{folder}/users"), fitted[0]), f"{folder}/features")
+
+    fitted = []
+    stages = {
+        "generate_sec": timed(generate),
+        "fit_sec": timed(fit),
+        "transform_write_sec": timed(transform_write),
+        "recount_sec": timed(lambda: spark.read.parquet(f"{folder}/features").count()),
+    }
+    job_sec = round(stages["fit_sec"] + stages["transform_write_sec"] + stages["recount_sec"], 3)
     return {
         "rows": rows,
-        "generate_sec": generate_sec,
+        **stages,
         "feature_job_sec": job_sec,
         "rows_per_sec": round(rows / job_sec),
+        "input_mb": folder_mb(f"{folder}/users"),
+        "output_mb": folder_mb(f"{folder}/features"),
         "baseline_feature_job_sec_10m": BASELINE_FEATURE_SEC,
     }
 
 
+def stream_scale(spark: SparkSession, events: int, cpus: int) -> dict:
+    """The stream job over a directory of JSON events, all branches and reports included."""
+    folder = new_folder(spark, "bench-events")
+    start_us = int(time.time()) * 1_000_000 - events * 1_000
+    keys = spark.range(0, events, 1, 2 * cpus)
+    write_event_files(synth_events(keys, "id", start_us, 1000), f"{folder}/queue")
+    run = StreamRun(f"{folder}/queue", f"{folder}/out", glob="part-*.json")
+    seconds = timed(lambda: run_available(spark, run))
+    return {"events": events, "stream_job_sec": seconds, "events_per_sec": round(events / seconds)}
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     rows = int(os.environ.get("BENCH_ROWS", "10000000"))
+    events = int(os.environ.get("BENCH_EVENTS", "100000"))
     spark = session(cpus)
 
     seconds = {}
@@ -110,7 +145,9 @@ def main() -> None:
         "sf": Path(folder).name.removeprefix("sf"),
     }
     if rows:
-        result["reference_scale"] = reference_scale(spark, rows, int(cpus))
+        result["feature_job"] = feature_scale(spark, rows, int(cpus))
+    if events:
+        result["stream_job"] = stream_scale(spark, events, int(cpus))
     print(json.dumps(result))
     spark.stop()
 

@@ -96,7 +96,7 @@ def summary(spark: SparkSession, run: StreamRun) -> DataFrame:
     return row.withColumn("total_errors", F.col("total_errors") + F.lit(corrupt))
 
 
-def run_for(spark: SparkSession, run: StreamRun, seconds: int, interval: str = "1 second") -> None:
+def run_for(spark: SparkSession, run: StreamRun, seconds: int, interval: str = "10 seconds") -> None:
     """Run on a processing-time trigger for `seconds` (0: until stopped), then write the reports."""
     queries = {
         name: writer.trigger(processingTime=interval).start() for name, writer in _writers(spark, run).items()

@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--window", type=int, default=C.WINDOW_SEC, help="window size in seconds")
     parser.add_argument("--max-lag", type=int, default=C.MAX_LAG_SEC, help="seconds a late event is accepted")
     parser.add_argument("--duration", type=int, default=180, help="seconds to run, 0 for ever")
+    parser.add_argument("--interval", default="10 seconds", help="time between micro-batches")
     parser.add_argument("--available", action="store_true", help="process what is there, then stop")
     parser.add_argument("--load-test", action="store_true", help="report each load_<rate> directory")
     parser.add_argument("--glob", default=EVENT_GLOB, help="names of event files")
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.available:
         stream_job.run_available(spark, run)
     else:
-        stream_job.run_for(spark, run, args.duration)
+        stream_job.run_for(spark, run, args.duration, args.interval)
     stream_job.summary(spark, run).show(truncate=False)
 
 

@@ -187,7 +187,7 @@ def test_stream_run_over_event_files(spark, tmp_path):
 def test_timed_run(spark, tmp_path):
     queue(tmp_path / "q", [event_text(i) for i in range(3)])
     run = stream_job.StreamRun(str(tmp_path / "q"), str(tmp_path / "out"))
-    stream_job.run_for(spark, run, 12)
+    stream_job.run_for(spark, run, 12, "1 second")
     assert stream_job.summary(spark, run).first().total_processed == 3
 
 
