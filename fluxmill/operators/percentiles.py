@@ -3,13 +3,14 @@
 The p-th percentile of n values is the one at 1-based rank max(1, floor(n * p / 100)). Ranks are
 found top-down over value ranges, as when refining a histogram:
 
-1. count values per (key, coarse range of 2^12); the map side combines, so the shuffle carries
-   ranges instead of rows;
-2. the same counts per range of 2^32 tell which of those holds each rank, then which 2^12 range;
+1. count values per (key, range); a range is 1/128 of its magnitude wide, at most 2^20, so a key has
+   some hundred of them whether its values spread over milliseconds or minutes, and the shuffle
+   carries ranges instead of rows;
+2. sums per 2^40 tell which of those holds each rank, then which range;
 3. only rows inside the chosen ranges are counted value by value.
 
-A running sum therefore orders at most 2^20 ranges or 2^12 values of one key, however many rows the
-key has (for values below 2^52, over a century of microseconds).
+A running sum therefore orders about 2^20 ranges or values of one key at most, however many rows the
+key has.
 """
 
 from __future__ import annotations
@@ -21,8 +22,19 @@ from pyspark.sql import functions as F
 
 from fluxmill.workspace import BROADCAST_ROWS, fits_broadcast, stored
 
-FINE_BITS = 12
-COARSE_BITS = 20
+PRECISION_BITS = 7
+WIDEST_BITS = 20
+TOP_BITS = 40
+
+
+def range_start(value: Column) -> Column:
+    """Lower end of the range a value lies in; never decreases with the value.
+
+    Widths are powers of two and stop growing at 2^WIDEST_BITS, where the logarithm is still exact.
+    """
+    magnitude = F.floor(F.log2(F.greatest(F.abs(value), F.lit(1))))
+    bits = F.greatest(F.lit(0), F.least(F.lit(WIDEST_BITS), magnitude - PRECISION_BITS)).cast("int")
+    return value - F.pmod(value, F.call_function("shiftleft", F.lit(1).cast("bigint"), bits))
 
 
 def _counted(df: DataFrame, keys: list[str], by: Column, name: str, count: str) -> DataFrame:
@@ -65,9 +77,9 @@ def values_at_ranks(
     """
     counts = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     rows = df.select(*keys, F.col(value).cast("bigint").alias("v"), counts.alias("w"))
-    rows = rows.where(F.col("v").isNotNull()).withColumn("mid", F.shiftright("v", FINE_BITS))
+    rows = rows.where(F.col("v").isNotNull()).withColumn("mid", range_start(F.col("v")))
 
-    mid = _counted(rows, keys, F.col("mid"), "mid", "w").withColumn("top", F.shiftright("mid", COARSE_BITS))
+    mid = _counted(rows, keys, F.col("mid"), "mid", "w").withColumn("top", F.shiftright("mid", TOP_BITS))
     top = mid.groupBy(*keys, "top").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy(*[F.col(k) for k in keys], F.lit(0)))
     wanted = F.array(

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from bruteforce import floor_rank
-from fluxmill.operators.percentiles import floor_rank_percentiles, values_at_ranks
+from fluxmill.operators.percentiles import floor_rank_percentiles, range_start, values_at_ranks
 from pyspark.sql import functions as F
 
 SIZES = [1, 2, 19, 20, 100, 101, 250]
@@ -48,3 +48,14 @@ def test_rank_from_the_top(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int, v long")
     assert floor_rank_percentiles(df, ["k"], "v", [50]).collect() == []
+
+
+def test_ranges_follow_the_order_of_values(spark):
+    edges = {s * (2**k + d) for k in range(61) for d in (-2, -1, 0, 1, 2, 3) for s in (1, -1)}
+    rng = random.Random(1)
+    values = sorted(edges | {rng.randrange(-(2**k), 2**k) for k in range(1, 61) for _ in range(40)})
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    starts = [r.s for r in df.select("v", range_start(F.col("v")).alias("s")).orderBy("v").collect()]
+    assert starts == sorted(starts)
+    assert all(0 <= v - s < 2**20 for v, s in zip(values, starts))
+    assert all(v - s <= max(1, abs(v)) / 64 for v, s in zip(values, starts))
