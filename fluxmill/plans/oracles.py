@@ -17,7 +17,6 @@ from fluxmill.functions.draws import (
 from fluxmill.plans.queries import (
     BASE_RATE,
     BUCKET_SEC,
-    DEDUP_DELAY_SEC,
     MAX_LAG_SEC,
     REPLAY_DELAY_US,
     RUN_SEC,
@@ -29,9 +28,6 @@ from fluxmill.plans.queries import (
 )
 from fluxmill.sources.synthetic import EVENT_DRAWS, USER_DRAWS, USER_POOL
 
-assert DEDUP_DELAY_SEC * 1_000_000 > REPLAY_DELAY_US
-
-
 def rounded(expression: str, digits: int = 6) -> str:
     scale = f"1e{digits}"
     return f"(round_even(({expression}) * {scale}, 0) / {scale} + 0.0)"

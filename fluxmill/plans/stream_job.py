@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fluxmill import constants as C
+from fluxmill.functions.numbers import round_to
 from fluxmill.operators import windows as W
 from fluxmill.operators.dedup import stream_dedup
+from fluxmill.operators.imputation import as_scalar
 from fluxmill.schemas import CORRUPT_COLUMN, struct
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import versions as V
@@ -27,7 +29,11 @@ QUARANTINE = struct(**{"receive_us": "long", CORRUPT_COLUMN: "string"})
 
 @dataclass
 class StreamRun:
-    """Settings of a run. Each branch of it keeps its own checkpoint under `output`."""
+    """Settings of a run. Each query of it keeps its own checkpoint under `output`.
+
+    `consume` deletes event files once they are processed. It leaves the live windows out: they are a
+    second reader, which could miss files the first one has deleted.
+    """
 
     source: str
     output: str
@@ -37,6 +43,7 @@ class StreamRun:
     files_per_trigger: int | None = None
     dedup_sec: int | None = None
     live_windows: bool = True
+    consume: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.output}/{name}"
@@ -65,12 +72,13 @@ def _exact_writer(events: DataFrame, run: StreamRun) -> DataStreamWriter:
 
 
 def _writers(spark: SparkSession, run: StreamRun) -> dict[str, DataStreamWriter]:
-    lines = EF.stream_events(spark, run.source, run.glob, run.files_per_trigger)
+    clean = "delete" if run.consume else "off"
+    lines = EF.stream_events(spark, run.source, run.glob, run.files_per_trigger, clean)
     events = EF.parse_events(EF.received_now(lines))
     exact = stream_dedup(events, run.dedup_sec) if run.dedup_sec else events
     writers = {"exact": _exact_writer(exact, run)}
     # A second stateful step after dedup is not allowed in update mode, so live windows need raw input.
-    if run.live_windows and not run.dedup_sec:
+    if run.live_windows and not run.dedup_sec and not run.consume:
         aggregates = live.window_aggregates(
             EF.decoded_only(events), run.window_sec, run.max_lag_sec, ahead_sec=run.max_lag_sec
         )
@@ -78,7 +86,9 @@ def _writers(spark: SparkSession, run: StreamRun) -> dict[str, DataStreamWriter]
     return writers
 
 
-def _finished(spark: SparkSession, run: StreamRun, queries: dict[str, StreamingQuery]) -> None:
+def _finished(spark: SparkSession, run: StreamRun, queries: dict[str, StreamingQuery], started: float) -> None:
+    seconds = spark.createDataFrame([(time.time() - started,)], "seconds double")
+    seconds.write.mode("append").parquet(run.path("runs"))
     progress = [
         progress_rows(spark, query).withColumn("query", F.lit(name)) for name, query in queries.items()
     ]
@@ -90,35 +100,49 @@ def _finished(spark: SparkSession, run: StreamRun, queries: dict[str, StreamingQ
 
 
 def summary(spark: SparkSession, run: StreamRun) -> DataFrame:
-    """The run summary; undecodable lines count as errors too."""
+    """The summary of a finished run and of those it went on from.
+
+    Elapsed time is the time they took, as receive times are those of whole micro-batches.
+    Undecodable lines count as errors too.
+    """
     corrupt = V.read_versions(spark, QUARANTINE, run.path("quarantine")).count()
     row = rollup.read_summary(spark, run.path("rollup"), BACKLOG_BUCKET_SEC)
-    return row.withColumn("total_errors", F.col("total_errors") + F.lit(corrupt))
+    runs = spark.read.schema("seconds double").parquet(run.path("runs"))
+    seconds = as_scalar(runs.agg(F.sum("seconds").alias("seconds"))).getField("seconds")
+    return row.withColumns(
+        {
+            "total_errors": F.col("total_errors") + F.lit(corrupt),
+            "elapsed_sec": round_to(seconds, 2),
+            "throughput_per_s": round_to(F.col("total_processed") / F.greatest(seconds, F.lit(0.001)), 1),
+        }
+    )
 
 
 def run_for(spark: SparkSession, run: StreamRun, seconds: int, interval: str = "10 seconds") -> None:
     """Run on a processing-time trigger for `seconds` (0: until stopped), then write the reports."""
+    started = time.time()
     queries = {
         name: writer.trigger(processingTime=interval).start() for name, writer in _writers(spark, run).items()
     }
-    deadline = time.time() + seconds if seconds else None
+    deadline = started + seconds if seconds else None
     try:
         for query in queries.values():
             query.awaitTermination(max(1, int(deadline - time.time())) if deadline else None)
     finally:
         for query in queries.values():
             query.stop()
-    _finished(spark, run, queries)
+    _finished(spark, run, queries, started)
 
 
 def run_available(spark: SparkSession, run: StreamRun) -> None:
     """Process what is there and write the reports. A later call goes on from the checkpoints."""
+    started = time.time()
     queries = {
         name: writer.trigger(availableNow=True).start() for name, writer in _writers(spark, run).items()
     }
     for query in queries.values():
         query.awaitTermination()
-    _finished(spark, run, queries)
+    _finished(spark, run, queries, started)
 
 
 def run_load_test(

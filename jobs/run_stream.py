@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--glob", default=EVENT_GLOB, help="names of event files")
     parser.add_argument("--files-per-trigger", type=int, default=None, help="bound on files per micro-batch")
     parser.add_argument("--dedup", type=int, default=None, help="drop replays seen within this many seconds")
+    parser.add_argument("--consume", action="store_true", help="delete event files once processed; no live windows")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("event-windows").getOrCreate()
@@ -38,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
         "glob": args.glob,
         "files_per_trigger": args.files_per_trigger,
         "dedup_sec": args.dedup,
+        "consume": args.consume,
     }
     if args.load_test:
         stream_job.run_load_test(spark, args.queue_dir, args.output, **settings).show(truncate=False)

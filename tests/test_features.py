@@ -127,6 +127,19 @@ def test_plan_has_no_shuffle_of_the_rows(spark):
     assert "hashpartitioning" not in main and "Python" not in plan
 
 
+def test_region_lookup_by_shuffle_gives_the_same(spark):
+    df = users(spark, *[{"region": r, "session_time": float(i)} for i, r in enumerate(["north", None, "west", "north"])])
+    expected = feature_table(df).orderBy("user_id").collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        table = feature_table(df)
+        assert "SortMergeJoin" in table._jdf.queryExecution().executedPlan().toString()
+        assert table.orderBy("user_id").collect() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_repartition_only_on_request(spark):
     df = users(spark, {}, {"region": "west"})
     profile = fit_profile(df)

@@ -177,6 +177,8 @@ def test_stream_run_over_event_files(spark, tmp_path):
     stream_job.run_available(spark, run)
     second = spark.read.json(run.path("summary")).first()
     assert (second.total_processed, second.total_errors) == (7, 2)
+    assert second.elapsed_sec > first.elapsed_sec > 0.1
+    assert second.throughput_per_s == pytest.approx(7 / second.elapsed_sec, abs=0.06)
     windows = spark.read.json(run.path("window_metrics"))
     assert windows.agg(F.sum("late_count"), F.sum("message_count")).first() == (7, 1)  # the bad stamp counts as now
     assert spark.read.parquet(run.path("quarantine")).count() == 1
@@ -184,6 +186,15 @@ def test_stream_run_over_event_files(spark, tmp_path):
     assert spark.read.json(run.path("progress")).count() >= 1
 
 
+def test_consuming_run(spark, tmp_path):
+    for start in (0, 5, 10):
+        queue(tmp_path / "q", [event_text(start + i) for i in range(5)], start=start)
+        run = stream_job.StreamRun(str(tmp_path / "q"), str(tmp_path / "out"), consume=True, files_per_trigger=2)
+        stream_job.run_available(spark, run)
+    assert stream_job.summary(spark, run).first().total_processed == 15
+    assert len(os.listdir(tmp_path / "q")) < 15
+
+
 def test_timed_run(spark, tmp_path):
     queue(tmp_path / "q", [event_text(i) for i in range(3)])
     run = stream_job.StreamRun(str(tmp_path / "q"), str(tmp_path / "out"))
