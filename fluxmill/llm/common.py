@@ -61,7 +61,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates the two star steps: each node hands its neighbours to the smallest of them. Every
     round shuffles links only, is written to the shared folder, and the rounds grow with the
-    logarithm of the longest path. Nodes without a link have no row.
+    logarithm of the longest path. Nodes without a link have no row. The lowest neighbours are
+    stored before they are joined, so that Spark splits the join at a node with many links.
     """
     pairs = stored(
         links.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
@@ -74,14 +75,15 @@ def components(links: DataFrame) -> DataFrame:
         both = pairs.select(F.col("hi").alias("node"), F.col("lo").alias("near")).unionAll(
             pairs.select(F.col("lo").alias("node"), F.col("hi").alias("near"))
         )
-        lowest = both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("low"))
+        lowest = stored(both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("low")), "lowest")
         large = (
             both.join(lowest, "node")
             .where("near > node")
             .select(F.col("near").alias("hi"), F.col("low").alias("lo"))
             .distinct()
         )
-        lowest = large.groupBy("hi").agg(F.min("lo").alias("low"))
+        large = stored(large, "large")
+        lowest = stored(large.groupBy("hi").agg(F.min("lo").alias("low")), "lowest")
         small = (
             large.join(lowest, "hi")
             .select(F.when(F.col("lo") == F.col("low"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), "low")

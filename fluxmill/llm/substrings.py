@@ -168,7 +168,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         _anchors(window, gram), "anchor long, span long, key_id long, key_text long, first int, last int"
     )
     runs = stored(rows, "runs")
-    seeds = runs.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Keys are stored before they are joined: a join of two plain tables is one that Spark splits at hot keys.
+    seeds = stored(runs.groupBy("anchor").count().where("count > 1").select("anchor"), "seeds")
     seeded = stored(runs.join(seeds, "anchor", "left_semi"), "seeded")
 
     spans = stored(
@@ -177,7 +178,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         ),
         "spans",
     )
-    open_anchors = spans.groupBy("anchor").count().where("count > 1").select("anchor")
+    open_anchors = stored(spans.groupBy("anchor").count().where("count > 1").select("anchor"), "open")
     asked = (
         spans.join(open_anchors, "anchor", "left_semi")
         .select("at.key_id", "at.key_text", F.struct("anchor", "at.first", "at.last").alias("run"))
@@ -188,7 +189,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     texts = texts.join(asked, ["key_id", "key_text"]).select("key_id", "key_text", "packed", "runs")
     windows = texts.mapInArrow(_extend(window), "anchor long, value long, key_id long, key_text long, first int")
     windows = stored(windows.distinct(), "windows")
-    twice = windows.groupBy("anchor", "value").count().where("count > 1").select("anchor", "value")
+    twice = stored(windows.groupBy("anchor", "value").count().where("count > 1").select("anchor", "value"), "twice")
     ends = windows.join(twice, ["anchor", "value"], "left_semi").select(
         "key_id", "key_text", "first", F.col("first").alias("last")
     )
