@@ -14,7 +14,7 @@ from fluxmill.workspace import stored
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 SEED = 5
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 MOST_PATTERNS = 20_000
 EPOCH_COST = (0, 1, 3)  # convex: a second pass over one text costs less than a third over another
 

@@ -19,6 +19,7 @@ from fluxmill.workspace import stored
 
 BLOCK_BYTES = 8_000_000
 LIMIT = 512
+ROWS_PACKED = 1_000_000
 # Fixed value: the split that byte-level BPE tokenizers of this family publish.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -72,44 +73,77 @@ def _blocks(path: str, block_bytes: int):
 
 def _block(block: list[tuple]) -> pa.RecordBatch:
     numbers: dict[str, int] = {}
-    places, counts, widths = [], [], []
+    places, counts = [], []
     for _, _, words, _ in block:
-        places.extend(numbers.setdefault(word, len(numbers)) for word in words)
-        counts.extend(words.values())
-        widths.append(len(words))
-    pack = zstandard.ZstdCompressor(level=1).compress
-    blob = lambda x: pack(np.asarray(x, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+        place = np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int64)
+        order = np.argsort(place)
+        places.append(np.diff(place[order], prepend=0))
+        counts.append(np.fromiter(words.values(), np.int64, len(words))[order])
+    longs, lists = pa.list_(pa.int64()), pa.list_(pa.string())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([[b[0] for b in block]], pa.list_(pa.int64())),
-            pa.array([[b[1] for b in block]], pa.list_(pa.int64())),
-            pa.array([[b[3] for b in block]], pa.list_(pa.int64())),
-            pa.array([widths], pa.list_(pa.int32())),
-            pa.array([blob(places)], pa.binary()),
-            pa.array([blob(counts)], pa.binary()),
-            pa.array([list(numbers)], pa.list_(pa.string())),
+            pa.array([[b[0] for b in block]], longs),
+            pa.array([[b[1] for b in block]], longs),
+            pa.array([[b[3] for b in block]], longs),
+            pa.array([[len(b[2]) for b in block]], longs),
+            pa.array([_pack(np.concatenate(places))], pa.binary()),
+            pa.array([_pack(np.concatenate(counts))], pa.binary()),
+            pa.array([list(numbers)], lists),
         ],
         ["doc_ids", "n_bytes", "n_added", "widths", "places", "counts", "words"],
     )
 
 
-def _unblob(blob: bytes) -> np.ndarray:
+def _pack(numbers: np.ndarray) -> bytes:
+    """Small numbers, byte planes apart, compressed."""
+    planes = np.ascontiguousarray(numbers.astype(np.uint32)).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpack(blob: bytes) -> np.ndarray:
     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(flat.reshape(4, -1).T).view(np.uint32).ravel()
+    return np.ascontiguousarray(flat.reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
 
 
 def _pieces(path: str):
+    """Rows (block, place, word), in order of word, to the pieces of each block's words, packed."""
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        block, place, pieces = (np.concatenate(x) for x in zip(*rows))
+        order = np.lexsort((place, block))
+        block, place, pieces = block[order], place[order], pieces[order]
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        parts = list(zip(cuts, cuts[1:]))
+        columns = [
+            pa.array([block[a] for a, _ in parts], pa.int64()),
+            pa.array([_pack(np.diff(place[a:b], prepend=0)) for a, b in parts], pa.binary()),
+            pa.array([_pack(pieces[a:b]) for a, b in parts], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["block", "at", "pieces"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        last, rows, size = (None, 0), [], 0
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(e) for e in found], pa.int32())], ["word", "pieces"]
-            )
+            block, place, word = batch.columns
+            if not len(word):
+                continue
+            coded = word.dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            known = [last[1]] if words[0] == last[0] else []
+            found = tokenizer.encode_batch_fast(words[len(known) :], add_special_tokens=False)
+            pieces = np.array([*known, *map(len, found)], np.int64)
+            last = (words[-1], int(pieces[-1]))
+            rows.append((block.to_numpy(), place.to_numpy(), pieces[coded.indices.to_numpy()]))
+            size += len(word)
+            if size >= ROWS_PACKED:
+                yield packed(rows)
+                rows, size = [], 0
+        if rows:
+            yield packed(rows)
 
     return run
 
@@ -117,14 +151,17 @@ def _pieces(path: str):
 def _sums(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index("found"))
-            ends_of = lists.offsets.to_numpy()
-            place, number = (lists.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for i, row in enumerate(batch.drop_columns(["found"]).to_pylist()):
-                pieces = np.zeros(ends_of[i + 1] - ends_of[i], np.int64)
-                pieces[place[ends_of[i] : ends_of[i + 1]]] = number[ends_of[i] : ends_of[i + 1]]
-                each = pieces[_unblob(row["places"])] * _unblob(row["counts"])
+            for row in batch.to_pylist():
+                pieces = np.zeros(row["n_words"], np.int64)
+                for part in row["found"] or ():
+                    pieces[np.cumsum(_unpack(part["at"]))] = _unpack(part["pieces"])
                 ends = np.cumsum(row["widths"])
+                places = _unpack(row["places"])
+                if len(places):
+                    # Places are differences that start anew with each document.
+                    running = np.concatenate([np.zeros(1, np.int64), np.cumsum(places)])
+                    places = running[1:] - np.repeat(running[ends - row["widths"]], row["widths"])
+                each = pieces[places] * _unpack(row["counts"])
                 total = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
                 tokens = total[ends] - total[ends - row["widths"]] + np.asarray(row["n_added"])
                 yield pa.RecordBatch.from_arrays(
@@ -145,30 +182,26 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
 
     Documents are read once, in blocks of about block_bytes of text (a longer text is a block of
     its own). A block keeps its distinct pre-tokens as a list and the frequencies of its documents
-    as numbers of that list. Pieces are counted once per distinct pre-token of the whole corpus
-    and joined to the lists of the blocks, so the frequent words of a language cost one row per
-    block; the sums are taken block by block. Added tokens count one each where they stand in a
+    as numbers of that list. The lists meet in the order of words, where the pieces of each distinct
+    pre-token of the whole corpus are counted once, and go back to their blocks packed; a frequent
+    word costs one row per block. The sums are taken block by block. Added tokens count one each where they stand in a
     text, as the library has it by default.
 
     A null text counts as empty (0 tokens); null and repeated ids keep their rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     schema = (
-        "doc_ids array<long>, n_bytes array<long>, n_added array<long>, widths array<int>, "
+        "doc_ids array<long>, n_bytes array<long>, n_added array<long>, widths array<long>, "
         "places binary, counts binary, words array<string>"
     )
     blocks = rows.mapInArrow(_blocks(path, block_bytes), schema).withColumn("block", F.monotonically_increasing_id())
     blocks = stored(blocks, "blocks")
     lists = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    words = blocks.select(F.explode("words").alias("word")).distinct()
-    pieces = words.mapInArrow(_pieces(path), "word string, pieces int")
-    found = (
-        lists.join(pieces, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("place", "pieces")).alias("found"))
-    )
-    empty = F.array().cast("array<struct<place:int,pieces:int>>")
-    sums = blocks.drop("words").join(found, "block", "left").withColumn("found", F.coalesce("found", empty))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_words = lists.repartition(n, "word").sortWithinPartitions("word")
+    pieces = sorted_words.mapInArrow(_pieces(path), "block long, at binary, pieces binary")
+    found = pieces.groupBy("block").agg(F.collect_list(F.struct("at", "pieces")).alias("found"))
+    sums = blocks.withColumn("n_words", F.size("words")).drop("words").join(found, "block", "left")
     return sums.drop("block").mapInArrow(
         _sums(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
     )
