@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 from fluxmill.llm.common import text_column
 from fluxmill.workspace import stored
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 32_000_000
 LIMIT = 512
-ROWS_PACKED = 1_000_000
+ROWS_PACKED = 200_000
 # Fixed value: the split that byte-level BPE tokenizers of this family publish.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -56,39 +56,33 @@ def _blocks(path: str, block_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, added = _plan(path)
+        numbers: dict[str, int] = {}
         block: list[tuple] = []
         size = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), text_column(batch)):
-                block.append((doc_id, len(text), *pre_tokens(text.decode(), split, added)))
+                words, n_added = pre_tokens(text.decode(), split, added)
+                place = np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int32)
+                order = np.argsort(place)
+                counts = np.fromiter(words.values(), np.int32, len(words))[order]
+                block.append((doc_id, len(text), n_added, len(words), np.diff(place[order], prepend=0), counts))
                 size += len(text) + 64
                 if size >= block_bytes:
-                    yield _block(block)
-                    block, size = [], 0
+                    yield _block(block, numbers)
+                    numbers, block, size = {}, [], 0
         if block:
-            yield _block(block)
+            yield _block(block, numbers)
 
     return run
 
 
-def _block(block: list[tuple]) -> pa.RecordBatch:
-    numbers: dict[str, int] = {}
-    places, counts = [], []
-    for _, _, words, _ in block:
-        place = np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int64)
-        order = np.argsort(place)
-        places.append(np.diff(place[order], prepend=0))
-        counts.append(np.fromiter(words.values(), np.int64, len(words))[order])
-    longs, lists = pa.list_(pa.int64()), pa.list_(pa.string())
+def _block(block: list[tuple], numbers: dict[str, int]) -> pa.RecordBatch:
+    longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([[b[0] for b in block]], longs),
-            pa.array([[b[1] for b in block]], longs),
-            pa.array([[b[3] for b in block]], longs),
-            pa.array([[len(b[2]) for b in block]], longs),
-            pa.array([_pack(np.concatenate(places))], pa.binary()),
-            pa.array([_pack(np.concatenate(counts))], pa.binary()),
-            pa.array([list(numbers)], lists),
+            *(pa.array([[b[i] for b in block]], longs) for i in range(4)),
+            *(pa.array([_pack(np.concatenate([b[i] for b in block]))], pa.binary()) for i in (4, 5)),
+            pa.array([list(numbers)], pa.list_(pa.string())),
         ],
         ["doc_ids", "n_bytes", "n_added", "widths", "places", "counts", "words"],
     )

@@ -17,8 +17,10 @@ LENGTHS = (4, 5)
 BITS = 20
 SAMPLE_ROWS = 6_000
 SMOOTHING = 1.0
+CONFIDENCE = 2.0  # standard errors
 EPOCHS = 3
-RATE = 0.05
+LEAST_STEPS = 100  # a small sample is gone through more often
+RATE = 0.1
 PENALTY = 1e-4
 MINI_BATCH = 64
 THRESHOLD = 0.3
@@ -77,12 +79,12 @@ def train(found: list[np.ndarray], toxic: np.ndarray) -> Model:
         present[int(label)][row] += 1.0
     yes, no = present[1] + SMOOTHING, present[0] + SMOOTHING
     ratio = np.log(yes / (positive + 2 * SMOOTHING)) - np.log(no / (n - positive + 2 * SMOOTHING))
-    # A bucket seen a few times has a ratio that says little; it is pulled towards none.
-    total = present[0] + present[1]
-    ratio *= total / (total + 10.0)
+    # What chance alone could make of a ratio is taken off it; rare and even n-grams end at none.
+    error = np.sqrt(1.0 / yes + 1.0 / no)
+    ratio = np.sign(ratio) * np.maximum(0.0, np.abs(ratio) - CONFIDENCE * error)
     squares = np.full(size, 1e-8)
     bias_square = 1e-8
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // -(-n // MINI_BATCH)))):
         for begin in range(0, n, MINI_BATCH):
             rows = found[begin : begin + MINI_BATCH]
             label = toxic[begin : begin + MINI_BATCH]
