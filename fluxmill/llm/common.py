@@ -21,13 +21,18 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [value or b"" for value in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in short pieces, so that a task holds the Python objects of few rows at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
-    """A mapInArrow function that turns each batch into one batch."""
+    """A mapInArrow function that turns each short piece of the input into one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+        return map(function, slices(batches))
 
     return run
 

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxmill.llm.common import text_column
+from fluxmill.llm.common import slices, text_column
 from fluxmill.workspace import stored
 
 CHARS_PER_EDIT = 16
@@ -153,7 +153,7 @@ def leaks(
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value, chars_per_edit)
-            for batch in batches:
+            for batch in slices(batches):
                 found = [matcher.search(normal(text.decode())) for text in text_column(batch)]
                 rows = [(d, *f) for d, each in zip(batch.column(0).to_pylist(), found) for f in each]
                 columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
@@ -170,7 +170,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = C
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value, chars_per_edit)
-            for batch in batches:
+            for batch in slices(batches):
                 clean = [not matcher.search(normal(text.decode())) for text in text_column(batch)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxmill.llm.common import text_column
+from fluxmill.llm.common import slices, text_column
 
 # Phrases whose words count where they stand consecutively.
 BASE = [
@@ -92,7 +92,7 @@ class Scanner:
 def _scan(with_spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(NOTICES, CHARS_PER_ERROR)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in text_column(batch):
                 line, n = word_line(text)

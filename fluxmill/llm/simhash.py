@@ -18,7 +18,7 @@ SEED = 42
 DISTANCE = 4
 SEGMENTS = 32  # of two bits each
 CELL_ROWS = 4096
-PAIRS_AT_ONCE = 2_000_000
+PAIRS_AT_ONCE = 500_000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:

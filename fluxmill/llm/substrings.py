@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxmill.llm.common import row_key, text_column
+from fluxmill.llm.common import row_key, slices, text_column
 from fluxmill.workspace import stored
 
 WINDOW = 35
@@ -77,7 +77,7 @@ def runs_of(hashes: Hashes, n: int, window: int, gram: int) -> tuple[np.ndarray,
 def _anchors(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             parts, size = [], 0
             for row, text in enumerate(text_column(batch)):
@@ -118,7 +118,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
+        for batch in slices(batches):
             packed = pa.array([pack(text) for text in text_column(batch)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], packed], ["key_id", "key_text", "rest", "packed"])
 
@@ -131,7 +131,7 @@ def _extend(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         powers = Powers()
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys, packed, asked = (c.to_pylist() for c in batch.columns)
             out = [], [], [], [], []
             for row, runs in enumerate(asked):
@@ -203,7 +203,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
 def _cut(window: int, text_out: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in slices(batches):
             rest, packed, ranges = batch.columns
             counts, removed, last = [], [], []
             for blob, found in zip(packed.to_pylist(), ranges.to_pylist()):

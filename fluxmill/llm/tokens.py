@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fluxmill.llm.common import text_column
+from fluxmill.llm.common import slices, text_column
 from fluxmill.workspace import stored
 
 BLOCK_BYTES = 32_000_000
@@ -59,7 +59,7 @@ def _blocks(path: str, block_bytes: int):
         numbers: dict[str, int] = {}
         block: list[tuple] = []
         size = 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), text_column(batch)):
                 words, n_added = pre_tokens(text.decode(), split, added)
                 place = np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int32)
@@ -144,7 +144,7 @@ def _pieces(path: str):
 
 def _sums(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             for row in batch.to_pylist():
                 pieces = np.zeros(row["n_words"], np.int64)
                 for part in row["found"] or ():

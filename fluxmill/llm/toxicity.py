@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxmill.llm.common import per_batch, text_column
+from fluxmill.llm.common import per_batch, slices, text_column
 from fluxmill.workspace import stored
 
 LENGTHS = (4, 5)
 BITS = 20
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 4_000
 SMOOTHING = 1.0
 CONFIDENCE = 2.0  # standard errors
 EPOCHS = 3
@@ -103,8 +103,10 @@ def train(found: list[np.ndarray], toxic: np.ndarray) -> Model:
 
 
 def _fit(table: pa.Table) -> pa.Table:
-    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("rank", "found", "toxic"))))
-    model = train([np.frombuffer(r[1], np.int32) for r in rows], np.array([r[2] for r in rows], np.float64))
+    order = np.argsort(table.column("rank").to_numpy(), kind="stable").tolist()
+    blobs = table.column("found")
+    found = [np.frombuffer(blobs[i].as_buffer(), np.int32) for i in order]
+    model = train(found, table.column("toxic").to_numpy()[order].astype(np.float64))
     return pa.table({"weights": pa.array([model.weights.astype(np.float32).tobytes()]), "bias": pa.array([model.bias])})
 
 
@@ -131,7 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     rows = known.count()
     drawn = known.where(F.col("rank") < int((1 << 30) * min(1.0, sample_rows / max(rows, 1))))
     texts = docs.select(F.col("doc_id").alias("text_id"), "text")
-    joined = texts.join(drawn, F.col("text_id") == F.col("doc_id"))
+    # The sample is bounded by its parameter, so it may be sent to all tasks; no text is shuffled.
+    joined = texts.join(F.broadcast(drawn), F.col("text_id") == F.col("doc_id"))
     ranked = joined.select(F.xxhash64("rank", "doc_id", "text").alias("rank"), "toxic", "text")
     found = ranked.mapInArrow(per_batch(_featured), "rank long, toxic int, found binary")
     models = found.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, "weights binary, bias double").collect()
@@ -144,7 +147,7 @@ def _score(weights, bias: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = np.zeros(1 << BITS, np.int32)
         table = weights.value
-        for batch in batches:
+        for batch in slices(batches):
             sums = [bias + float(table[features(text, mark)].sum(dtype=np.float64)) for text in text_column(batch)]
             scores = 1.0 / (1.0 + np.exp(-np.clip(np.array(sums), -500, 500)))
             yield pa.RecordBatch.from_arrays(
@@ -178,7 +181,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = np.zeros(1 << BITS, np.int32)
-        for batch in batches:
+        for batch in slices(batches):
             sums = [bias + float(shared.value[features(t, mark)].sum(dtype=np.float64)) for t in text_column(batch)]
             yield batch.filter(pa.array(1.0 / (1.0 + np.exp(-np.clip(np.array(sums), -500, 500))) < threshold))
 
