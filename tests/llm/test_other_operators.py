@@ -1,0 +1,140 @@
+"""Vectors, conversations, web archive records and the pipeline against brute force."""
+
+import random
+
+import numpy as np
+from fluxmill.llm import preference, revisits, vectors
+from pyspark.sql import functions as F
+
+
+def brute_groups(rows, cosine=0.98):
+    def link(a, b):
+        if a[2] is None or a[2] != b[2] or not a[1] or not b[1] or len(a[1]) != len(b[1]):
+            return False
+        if any(x is None or not np.isfinite(x) for x in a[1] + b[1]):
+            return False
+        u, v = np.array(a[1]), np.array(b[1])
+        if not u.any() or not v.any():
+            return False
+        u, v = u / np.abs(u).max(), v / np.abs(v).max()
+        return u @ v / np.sqrt((u @ u) * (v @ v)) >= cosine
+
+    n = len(rows)
+    near = [[j for j in range(n) if j != i and link(rows[i], rows[j])] for i in range(n)]
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            new = set(near[todo.pop()]) - seen
+            seen |= new
+            todo += new
+        low = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        out.append((rows[i][0], len(near[i]), low, rows[i][0] == low))
+    return sorted(out, key=repr)
+
+
+def test_vectors(spark):
+    draw = random.Random(4)
+    rows = []
+    for i in range(160):
+        base = [draw.gauss(0, 1) for _ in range(8)] if i % 4 == 0 else [x + draw.gauss(0, 0.07) for x in base]
+        rows.append((i, base, i // 40 if i % 23 else None))
+    rows += [(200 + i, [1.0] * 8, 1) for i in range(30)]  # equal vectors
+    rows += [(300, None, 1), (301, [], 1), (302, [0.0] * 8, 1), (303, [1.0] * 7 + [None], 1)]
+    rows += [(304, [1.0] * 7 + [float("nan")], 1), (305, [float("inf")] + [1.0] * 7, 1), (306, [1.0] * 5, 1)]
+    rows += [(307, [3e200] * 8, 1), (308, [2e-200] * 8, 1), (None, [1.0] * 8, 1), (200, [1.0] * 8, 1), (309, [1.0] * 5, 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for pivots, cell_rows in [(16, 1024), (3, 7), (1, 1024)]:
+        got = sorted(map(tuple, vectors.vector_groups(table, pivots=pivots, cell_rows=cell_rows).collect()), key=repr)
+        assert got == brute_groups(rows)
+    extra = table.select("*", F.lit(1).alias("node"), F.lit("x").alias("cell"), F.lit(0).alias("n_links"))
+    assert vectors.vector_groups(extra).count() == len(rows)
+    assert vectors.vector_groups(table.limit(0)).count() == 0
+
+
+def test_preference(spark):
+    turn = lambda role, text: {"role": role, "text": text}
+    a = [turn("user", "hi"), turn("assistant", "hello"), turn("user", "more")]
+    pairs = [
+        (1, a + [turn("assistant", "good")], a + [turn("assistant", "bad"), turn("user", "?")]),
+        (2, a, a),
+        (3, a, a[:1]),
+        (4, None, a[:2]),
+        (5, [turn(None, None)], [turn("", "")]),
+        (6, [], []),
+        (7, [turn("user", "x")], [turn("assistant", "x")]),
+    ]
+    kind = preference.TURNS
+    table = spark.createDataFrame(pairs, f"pair_id long, chosen {kind}, rejected {kind}")
+    rows = {r.pair_id: r for r in preference.preference_examples(table).collect()}
+    assert [rows[i].n_shared for i in range(1, 8)] == [3, 3, 1, 0, 1, 0, 0]
+    assert [rows[i].tie for i in range(1, 8)] == [False, True, False, False, True, True, False]
+    render = lambda ts: "".join(f"<|im_start|>{t['role'] or ''}\n{t['text'] or ''}<|im_end|>\n" for t in ts or [])
+    for i, chosen, rejected in pairs:
+        r = rows[i]
+        assert (r.prompt + r.chosen, r.prompt + r.rejected) == (render(chosen), render(rejected))
+        for text, spans, turns in [(r.chosen, r.chosen_spans, chosen), (r.rejected, r.rejected_spans, rejected)]:
+            trained = [t["text"] + "<|im_end|>\n" for t in (turns or [])[r.n_shared :] if t["role"] == "assistant"]
+            assert [text[s.start : s.end] for s in spans] == trained
+    turns = [(1, 0, "user", "q", 9), (1, 1, "assistant", "one", 9), (0, 0, "user", "q", 9), (0, 1, "assistant", "two", 9)]
+    turns += [(2, None, None, None, 9), (None, 0, "user", "x", 9), (5, 0, "user", "alone", 9)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, last int")
+    made = preference.preference_examples(preference.swapped_replies(preference.conversations_as_turns(table)))
+    rows = {r.pair_id: r for r in made.collect()}
+    assert set(rows) == {0, 1, 2, 5} and rows[0].n_shared == 1
+    assert "two" in rows[0].chosen and "one" in rows[0].rejected and rows[5].tie
+
+
+def test_revisits(spark):
+    fields = "record_id long, url string, captured long, kind string, etag string, last_modified string, digest string, headers map<string,string>, bucket int"
+    full = {"content-type": "text/html", "date": "old", "vary": "x"}
+    rows = [
+        (1, "http://www.Example.org:80/a/?q#f", 10, "response", '"1"', "m", "d1", full, 0),
+        (2, "https://example.org/a", 20, "response", '"2"', None, "d2", full, 0),
+        (3, "example.org/a/", 20, "revisit", '"1"', None, None, {"date": "new", "server": "s"}, 0),
+        (4, "example.org/a", 21, "revisit", 'W/"2"', None, None, {"date": "new", "content-type": "no"}, 0),
+        (5, "example.org/a", 300_000, "revisit", None, "m", None, None, 0),
+        (6, "example.org/a", 10, "revisit", '"1"', None, None, None, 0),
+        (7, "example.org/b", 10, "revisit", None, None, None, None, 0),
+        (8, None, 10, "revisit", None, None, None, None, 0),
+        (9, "example.org/a", None, "revisit", None, None, None, None, 0),
+        (4, "example.org/a", 21, "revisit", 'W/"2"', None, None, {"date": "new"}, 0),
+        (11, "example.org/a", 30, "revisit", '"9"', None, None, None, 0),
+    ]
+    table = spark.createDataFrame(rows, fields)
+    for bucket in (100_000, 5, 1):
+        got = revisits.resolve_revisits(table, bucket).collect()
+        by_id = {r.record_id: r for r in got}
+        assert len(got) == 7
+        status = {i: (by_id[i].status, by_id[i].full_id) for i in by_id}
+        assert status == {
+            3: ("resolved", 1), 4: ("resolved", 2), 5: ("unverified", 2),
+            6: ("orphan", None), 7: ("orphan", None), 11: ("changed", None),
+        }
+        assert by_id[3].headers == {"content-type": "text/html", "date": "new", "vary": "x"} and by_id[3].digest == "d1"
+        assert by_id[5].headers == full and by_id[11].headers is None
+    assert revisits.resolve_revisits(table.limit(0)).count() == 0
+
+
+def test_pipeline(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    columns = docs.columns
+    before = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, small)
+        assert docs.columns == columns, name
+    made = corpus_pipeline.run(spark, small)
+    rows = made.collect()
+    assert set(columns) <= set(made.columns) and {r.doc_id for r in rows} <= set(before)
+    assert 0 < len(rows) <= docs.count() and all(0 < r.taken <= 3 * r["size"] for r in rows)
+    assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
+
+
+def test_registered_queries_run(spark, small):
+    import __spark_entry__ as driver
+    from fluxmill.llm.queries import REGISTRY
+
+    assert {*REGISTRY, "pipeline"} <= set(driver.queries())
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))

@@ -1,0 +1,269 @@
+"""Operators on documents against brute force, on rows with nulls, long and empty texts, repeats and clashing names."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import xxhash
+from conftest_rows import PASSAGE, ROWS, words
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from fluxmill.llm import decontaminate, licenses, mixing, simhash, substrings, tokens, toxicity
+
+
+def split(text):
+    return (text or "").encode().split()
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_substring_dedup(docs):
+    places = Counter()
+    for r in ROWS:
+        w = split(r[1])
+        places.update(b" ".join(w[i : i + 35]) for i in range(len(w) - 34))
+    expected = []
+    for r in ROWS:
+        w = split(r[1])
+        gone = set()
+        for i in range(len(w) - 34):
+            if places[b" ".join(w[i : i + 35])] > 1:
+                gone.update(range(i, i + 35))
+        kept = [x for i, x in enumerate(w) if i not in gone]
+        expected.append((r[0], len(w), len(gone), hashlib.sha256(b" ".join(kept)).hexdigest()))
+    assert rows_of(substrings.repeat_digests(docs)) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("gram", [1, 5, 34, 35])
+def test_substring_dedup_for_any_anchor(docs, gram):
+    assert rows_of(substrings.repeat_digests(docs, gram=gram)) == rows_of(substrings.repeat_digests(docs))
+
+
+def test_cut_repeats_keeps_rows_and_columns(docs):
+    cut = substrings.cut_repeats(docs)
+    assert cut.columns == docs.columns and cut.count() == len(ROWS)
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert PASSAGE not in texts[4] and texts[4] == words(1000, 50) + " " + words(2000, 20)
+    assert texts[13] == "a  b" and texts[1] == "" and texts[6] == ""
+
+
+def test_simhash(docs):
+    def fingerprint(text):
+        w = split("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        shingles = [b" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+        h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    prints = [fingerprint(r[1]) for r in ROWS]
+    reached = []
+    for start in prints:
+        seen, todo = {start}, [start]
+        while todo:
+            x = todo.pop()
+            new = {y for y in prints if (x ^ y).bit_count() <= 4} - seen
+            seen |= new
+            todo += new
+        reached.append(min((r[0] for r, p in zip(ROWS, prints) if p in seen and r[0] is not None), default=None))
+    expected = [(r[0], f"{p:016x}", c) for r, p, c in zip(ROWS, prints, reached)]
+    assert rows_of(simhash.simhash_groups(docs)) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("distance,cell_rows", [(4, 4096), (4, 3), (2, 5), (7, 4096)])
+def test_near_fingerprints_join_what_is_near(spark, distance, cell_rows):
+    seeds = [xxhash.xxh64_intdigest(str(i)) for i in range(40)]
+    prints = set(seeds)
+    for i, s in enumerate(seeds):
+        for j in range(i % 9):
+            prints.add(s ^ (1 << (i + 7 * j) % 64) ^ (1 << (3 * i + 5 * j) % 64) ^ (j << 20))
+    signed = [(p - 2**64 if p >= 2**63 else p,) for p in prints]
+    links = simhash.near_fingerprints(spark.createDataFrame(signed, "fp long"), distance, cell_rows).collect()
+    parent = {p: p for p in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for link in links:
+        a, b = link.src % 2**64, link.dst % 2**64
+        assert (a ^ b).bit_count() <= distance or find(a) is not None
+        parent[find(a)] = find(b)
+    ordered = sorted(prints)
+    truth = {p: p for p in prints}
+
+    def root(x):
+        while truth[x] != x:
+            x = truth[x]
+        return x
+
+    for i, a in enumerate(ordered):
+        for b in ordered[:i]:
+            if (a ^ b).bit_count() <= distance:
+                truth[root(a)] = root(b)
+    assert len({find(p) for p in prints}) == len({root(p) for p in prints})
+    assert all((find(a) == find(b)) == (root(a) == root(b)) for a in ordered[:60] for b in ordered)
+
+
+def test_keep_one(docs):
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert 1 in ids and 2 not in ids and 10 in ids and None in ids
+
+
+def test_token_counts(docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    expected = []
+    for r in ROWS:
+        n = len(library.encode(r[1] or "", add_special_tokens=False))
+        expected.append((r[0], len((r[1] or "").encode()), n, n > 512))
+    assert rows_of(tokens.token_counts(docs, path)) == sorted(expected, key=repr)
+    assert rows_of(tokens.token_counts(docs, path, block_bytes=300)) == sorted(expected, key=repr)
+
+
+def test_license_scan(docs):
+    found = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
+    row = found[14]
+    assert (row.n_base, row.first_word, row.last_word, row.base_labels) == (1, 1, 1, "mit")
+    assert row.labels == "apache-2,mit" and row.score == 1.0
+    assert [(s.label, s.first, s.last, s.errors) for s in row.spans] == [("mit", 0, 4, 0), ("apache-2", 5, 12, 2)]
+    for r in ROWS:
+        n = len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or "")))
+        if r[0] not in (None, 12):
+            assert found[r[0]].n_words == n
+    assert (found[6].n_words, found[6].first_word, found[6].labels, found[6].score) == (0, None, "", 0.0)
+
+
+@pytest.mark.parametrize("wrong", range(4))
+def test_notices_with_errors(wrong):
+    scanner = licenses.Scanner(licenses.NOTICES, licenses.CHARS_PER_ERROR)
+    phrase = "licensed under the gnu general public license version 3"
+    text = phrase
+    for i in range(wrong):
+        at = 9 + 11 * i
+        text = text[:at] + "q" + text[at + 1 :]
+    _, notices = scanner.scan(f" before {text} after ")
+    assert [(x[2], x[3]) for x in notices] == [("gpl-3", wrong)]
+
+
+def _distance(item, text):
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(text, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return min(row)
+
+
+def test_benchmark_leaks(spark, docs):
+    item = "The quick brown fox jumps over the lazy dog and then sleeps for an hour under the old tree"
+    items = [(1, item), (2, words(90_010, 12)), (3, None), (4, ""), (None, item), (5, "too short"), (1, item)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    edits = [item, item.replace("quick", "quack").replace("dog", "dogs"), item.replace("and then", "then").upper(), item[:40]]
+    texts = [(100 + i, f"{words(i, 9)} {t}, {words(i, 9)}") for i, t in enumerate(edits)]
+    both = docs.select("doc_id", "text").unionAll(spark.createDataFrame(texts, "doc_id long, text string"))
+    expected = []
+    for doc_id, text in [(r[0], r[1]) for r in ROWS if r[0] != 10] + texts:
+        for item_id, t in {(1, item), (2, words(90_010, 12))}:
+            goal = decontaminate.normal(t)
+            d = _distance(goal, decontaminate.normal(text or ""))
+            if d <= len(goal) // decontaminate.CHARS_PER_EDIT:
+                expected.append((doc_id, item_id, d))
+    for block_chars in (4_000_000, 50):
+        found = decontaminate.leaks(both, benchmark, block_chars=block_chars).drop("match_end")
+        assert rows_of(found) == sorted(expected, key=repr)
+    assert len(expected) >= 5
+    kept = decontaminate.without_leaks(docs, benchmark)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in ROWS} - {4, 5}
+
+
+def test_myers_equals_the_table():
+    for a, b in [("kitten", "a sitting cat"), ("abc", ""), ("aaaa", "aabaa"), ("flaw", "lawn"), ("x" * 70, "x" * 30)]:
+        assert decontaminate.myers(decontaminate.masks_of(a), len(a), b)[0] == _distance(a, b)
+
+
+def test_mix(docs):
+    mixed = [r.asDict() for r in mixing.mix_documents(docs).collect()]
+    assert rows_of(mixing.mix_documents(docs)) == sorted([tuple(r.values()) for r in mixed], key=repr)
+    assert len(mixed) == len(ROWS) and all(0 <= r["taken"] <= 3 * r["size"] for r in mixed)
+    size = defaultdict(int)
+    for r in ROWS:
+        size[r[3]] += len(split(r[1]))
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    targets = dict(zip(names, mixing.water_filling([size[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))])))
+    assert abs(sum(targets.values()) - sum(size.values())) < 1e-6
+    assert all(targets[s] <= 3 * size[s] + 1e-9 for s in names)
+    for s in names:
+        mine = [m for m in mixed if abs(m["target"] - targets[s]) < 1e-6 and m["source_size"] == size[s]]
+        assert abs(sum(m["taken"] for m in mine) - targets[s]) <= 3
+
+
+def test_mix_of_overlapping_sources(spark):
+    rows = [(i, 10, ["a"] if i < 50 else ["a", "b"] if i < 80 else ["b", None] if i < 90 else []) for i in range(100)]
+    mixed, sources = mixing.mix(spark.createDataFrame(rows, "doc_id long, size long, sources array<string>"))
+    taken = {r.doc_id: r.taken for r in mixed.collect()}
+    assert all(taken[i] == 0 for i in range(90, 100)) and all(0 <= t <= 30 for t in taken.values())
+    for r in sources.collect():
+        assert abs(r.source_taken - r.target) <= 2
+    assert sum(taken.values()) == sum(r.source_taken for r in sources.collect())
+
+
+def test_flow_repeats_as_little_as_it_can():
+    # Source 0 has only pattern 0; source 1 could use both and leaves pattern 0 to it.
+    flow = mixing.route([(frozenset({0, 1}), 10), (frozenset({1}), 10)], [10, 10])
+    assert flow == [[10, 0], [0, 10]]
+    flow = mixing.route([(frozenset({0}), 10), (frozenset({0}), 5)], [25])
+    assert sorted(sum(f) for f in flow) == [10, 15] or sum(map(sum, flow)) == 25
+    assert mixing.route([(frozenset({0}), 10)], [100]) == [[30]]
+
+
+def test_toxicity(spark, docs):
+    rude = "you stupid idiot "
+    rows = [(i, words(i * 50, 60) + (f" {rude}" if i % 3 == 0 else "")) for i in range(100, 700)]
+    many = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, None, int(i % 3 == 0)) for i, _ in rows] + [(100, 1, 1), (None, 1, 1), (5, 1, None)],
+        "doc_id long, quality int, toxic int",
+    )
+    scored = toxicity.toxicity_scores(many, labels)
+    held = scored.where("held_out").collect()
+    assert len(held) > 100 and all(r.predicted == int(r.doc_id % 3 == 0) for r in held)
+    assert rows_of(scored) == rows_of(toxicity.toxicity_scores(many, labels))
+    rest = toxicity.toxicity_scores(docs, labels).collect()
+    assert len(rest) == len(ROWS) and all(0 <= r.score <= 1 for r in rest)
+    kept = toxicity.without_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert all(r.score == 0.5 for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect())
+
+
+def test_empty_tables(spark, no_docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for df in [
+        substrings.repeat_digests(no_docs),
+        substrings.cut_repeats(no_docs),
+        simhash.simhash_groups(no_docs),
+        simhash.keep_one(no_docs),
+        tokens.token_counts(no_docs, path),
+        licenses.license_scan(no_docs),
+        decontaminate.leaks(no_docs, benchmark),
+        decontaminate.without_leaks(no_docs, benchmark),
+        mixing.mix_documents(no_docs),
+        mixing.taken_documents(no_docs),
+        toxicity.toxicity_scores(no_docs, labels),
+        toxicity.without_toxic(no_docs, labels),
+    ]:
+        assert df.count() == 0
+
+
+def test_taken_documents(docs):
+    taken = mixing.taken_documents(docs)
+    assert set(docs.columns) <= set(taken.columns) and taken.where("taken <= 0").count() == 0
+    assert taken.agg(F.sum("taken")).first()[0] == mixing.mix_documents(docs).agg(F.sum("taken")).first()[0]
