@@ -25,5 +25,4 @@ WINDOW_SEC = 30
 MAX_LAG_SEC = 10
 
 PERCENTS = [50, 95, 99]
-RECENT_ROWS = 50_000
 LOAD_RATES = [100, 1000, 5000]

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-
 
 def dedup_events(events: DataFrame) -> DataFrame:
     """The first received copy of each event_id; events without an id are all kept.
@@ -20,22 +18,24 @@ def dedup_events(events: DataFrame) -> DataFrame:
     return events.groupBy("event_id", anonymous).agg(first).select("event_id", "first.*").select(*events.columns)
 
 
-def stream_dedup(events: DataFrame, delay_sec: int, salts: int = SALTS) -> DataFrame:
-    """The same on a stream: an id is remembered for `delay_sec` of event time.
+def stream_dedup(events: DataFrame, delay_sec: int, salts: int = 1) -> DataFrame:
+    """The same on a stream: an id is remembered for `delay_sec` of receive time.
 
-    Copies of one id are thinned in `salts` parts first, so that an id with many copies does not
-    send them all to one task. 1 leaves that step out where ids repeat rarely.
+    The watermark follows the receive time, which neither lags nor leads, so late events and
+    events with a clock ahead pass and are counted where they belong. With `salts` above 1,
+    copies of one id are thinned within as many groups of input partitions first, for streams in
+    which one id has a large share of a batch; that costs a second state store.
     """
     seen = events.withColumns(
         {
-            "event_ts": F.timestamp_micros("event_us"),
+            "receive_ts": F.timestamp_micros("receive_us"),
             "anonymous": F.when(F.col("event_id").isNull(), F.uuid()),
         }
-    ).withWatermark("event_ts", f"{delay_sec} seconds")
+    ).withWatermark("receive_ts", f"{delay_sec} seconds")
     if salts > 1:
         seen = (
-            seen.withColumn("salt", F.floor(F.rand() * salts))
+            seen.withColumn("salt", F.spark_partition_id() % salts)
             .dropDuplicatesWithinWatermark(["event_id", "anonymous", "salt"])
             .drop("salt")
         )
-    return seen.dropDuplicatesWithinWatermark(["event_id", "anonymous"]).drop("event_ts", "anonymous")
+    return seen.dropDuplicatesWithinWatermark(["event_id", "anonymous"]).drop("receive_ts", "anonymous")

@@ -48,7 +48,7 @@ def fill_columns(stats: Column) -> dict[str, Column]:
 
 def impute_mean(users: DataFrame) -> DataFrame:
     """Null and NaN income and cart_value replaced by the column mean."""
-    return users.withColumns(fill_columns(as_scalar(column_stats(users))))
+    return users.withColumns(fill_columns(as_scalar(column_stats(users).select("income_mean", "cart_mean"))))
 
 
 def scale_columns(stats: Column) -> dict[str, Column]:
@@ -63,4 +63,5 @@ def scale_columns(stats: Column) -> dict[str, Column]:
 
 
 def min_max_scale(users: DataFrame) -> DataFrame:
-    return users.withColumns(scale_columns(as_scalar(column_stats(users))))
+    needed = column_stats(users).select("session_min", "session_max", "views_min", "views_max")
+    return users.withColumns(scale_columns(as_scalar(needed)))

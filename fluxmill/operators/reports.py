@@ -30,12 +30,14 @@ def _per_second(count: Column, seconds: Column) -> Column:
     return round_to(count / F.greatest(seconds, F.lit(0.001)), 1)
 
 
-def recent_latency(events: DataFrame, rows: int = C.RECENT_ROWS) -> DataFrame:
-    """The latest `rows` events by receive time, then event_id.
+def recent_latency(events: DataFrame, rows: int | None = None) -> DataFrame:
+    """The latest `rows` events by receive time, then event_id; all events without `rows`.
 
     A plain top-k would send `rows` rows of every task to one task. The receive time of the last row
     that counts is found first and becomes a filter; rows that share it are ranked in SALTS parts.
     """
+    if rows is None:
+        return events.select("event_id", "receive_us", latency_us().alias("latency_us"))
     cutoff_rank = {"cutoff": F.greatest(F.lit(1).cast("bigint"), F.col("total") - (rows - 1))}
     cutoff = values_at_ranks(events.withColumn("all", F.lit(1)), ["all"], "receive_us", cutoff_rank)
     latest_first = [F.desc("receive_us"), F.desc("event_id")]

@@ -3,17 +3,6 @@
 from __future__ import annotations
 
 from fluxmill import constants as C
-from fluxmill.functions.draws import (
-    HIGH_FACTOR,
-    LOW_BITS,
-    LOW_MASK,
-    PRIME,
-    ROUND_FACTOR,
-    STEP,
-    cumulative_poisson,
-    cumulative_weights,
-    draw_constants,
-)
 from fluxmill.plans.queries import (
     BASE_RATE,
     BUCKET_SEC,
@@ -21,12 +10,9 @@ from fluxmill.plans.queries import (
     REPLAY_DELAY_US,
     RUN_SEC,
     RUN_START_S,
-    SYNTH_RATE,
-    SYNTH_SEED,
-    SYNTH_START_US,
     WINDOW_SEC,
 )
-from fluxmill.sources.synthetic import EVENT_DRAWS, USER_DRAWS, USER_POOL
+
 
 def rounded(expression: str, digits: int = 6) -> str:
     scale = f"1e{digits}"
@@ -173,86 +159,6 @@ def cubed(x: str) -> str:
     return f"(({x}) * ((({x}) * ({x})) % {PRIME}) % {PRIME})"
 
 
-def draws(name: str, table: str, key: str, names: list[str]) -> str:
-    """Four steps, so that each value is written once."""
-    steps = [draw_constants(SYNTH_SEED, i) for i in range(len(names))]
-    numbers = range(len(names))
-    start = ", ".join(
-        f"((key & {LOW_MASK}) * {steps[i][0]} + ((key >> {LOW_BITS}) % {PRIME}) * {HIGH_FACTOR} + {steps[i][1]}) % {PRIME} as a{i}"
-        for i in numbers
-    )
-    first = ", ".join(f"{cubed(f'a{i}')} as b{i}" for i in numbers)
-    second = ", ".join(f"(b{i} * {ROUND_FACTOR} + {steps[i][2]}) % {PRIME} as c{i}" for i in numbers)
-    last = ", ".join(f"({cubed(f'c{i}')} + 0.5e0) * {STEP!r}::double as u_{names[i]}" for i in numbers)
-    return f"""
-{name}_key as (select cast({key} as bigint) as key from {table}),
-{name}_a as (select key, {start} from {name}_key),
-{name}_b as (select key, {first} from {name}_a),
-{name}_c as (select key, {second} from {name}_b),
-{name} as (select key, {last} from {name}_c)"""
-
-
-def normal(part: str) -> str:
-    return f"sqrt(-2e0 * ln(u_normal_a)) * {part}(2e0 * pi() * u_normal_b)"
-
-
-def chosen(u: str, thresholds: list[float], results: list, last) -> str:
-    arms = " ".join(f"when {u} < {edge!r}::double then {result!r}" for edge, result in zip(thresholds, results))
-    return f"case {arms} else {last!r} end"
-
-
-def poisson(u: str, mean: float) -> str:
-    table = cumulative_poisson(mean)
-    return f"cast({chosen(u, table, list(range(len(table))), len(table))} as integer)"
-
-
-def weighted(u: str, values: list[str], weights: list[float]) -> str:
-    return chosen(u, cumulative_weights(weights), values[:-1], values[-1])
-
-
-def listed(u: str, values: list[str]) -> str:
-    return f"list_extract([{', '.join(repr(v) for v in values)}], cast(floor(u_{u} * {len(values)}e0) as integer) + 1)"
-
-
-SYNTH_ORACLES = {
-    "synth_users": f"""
-with {draws('drawn', 'orders', 'o_orderkey', USER_DRAWS)},
-shaped as (
-  select key as user_id, u_income_gap, u_cart_gap, u_label,
-    cast(floor(u_age * 72e0) as integer) + 18 as age,
-    least(greatest(55000e0 + 20000e0 * {normal('cos')}, 10000e0), 300000e0) as full_income,
-    {rounded('least(greatest(-15e0 * ln(u_session), 0e0), 300e0)', 2)} as session_time,
-    {poisson('u_views', 8.0)} as page_views,
-    {poisson('u_clicks', 3.0)} as clicks,
-    least(greatest(exp(3.5e0 + 1.2e0 * {normal('sin')}), 0e0), 5000e0) as full_cart,
-    {weighted('u_device', C.DEVICES, C.DEVICE_WEIGHTS)} as device_type,
-    {weighted('u_region', C.REGIONS, C.REGION_WEIGHTS)} as region
-  from drawn)
-select user_id, age, case when u_income_gap >= 0.05e0 then {rounded('full_income', 4)} end as income,
-  session_time, page_views, clicks, case when u_cart_gap >= 0.05e0 then {rounded('full_cart', 4)} end as cart_value,
-  device_type, region,
-  cast(u_label < least(greatest(0.05e0 + 0.0000003e0 * full_income + 0.002e0 * page_views + 0.003e0 * clicks, 0e0), 1e0) as tinyint) as label
-from shaped""",
-    "synth_events": f"""
-with {draws('drawn', 'events', 'event_id', EVENT_DRAWS)},
-shaped as (
-  select *, cast(floor(u_user * {USER_POOL}e0) as bigint) + 1 as user_id,
-    {weighted('u_type', C.EVENT_TYPES, C.EVENT_WEIGHTS)} as event_type,
-    {SYNTH_START_US} + cast(floor(key * 1000000 / {SYNTH_RATE}) as bigint) as event_us
-  from drawn)
-select concat_ws('-', user_id, event_us * 1000 + key % 1000) as event_id, user_id, event_type,
-  strftime(make_timestamp(event_us), '%Y-%m-%dT%H:%M:%S.%f+00:00') as timestamp,
-  {rounded('-15e0 * ln(u_session)', 2)} as session_time,
-  cast(floor(u_views * 20e0) as integer) + 1 as page_views,
-  cast(floor(u_clicks * 11e0) as integer) as clicks,
-  case when event_type in ('add_to_cart', 'purchase') then {rounded(f"exp(3.5e0 + 1.2e0 * {normal('sin')})", 2)} else 0e0 end as cart_value,
-  {listed('device', C.DEVICES)} as device_type,
-  {listed('region', C.REGIONS)} as region,
-  {rounded(f"55000e0 + 20000e0 * {normal('cos')}", 2)} as income
-from shaped""",
-}
-
-
 # -- events --
 
 EVENTS = """
@@ -467,7 +373,7 @@ where (window_start_s + {WINDOW_SEC}) * 1000 <= (
     "recent_latency": f"""
 with {EVENTS}
 select event_id, receive_us, receive_us - event_us as latency_us from mapped
-order by receive_us desc, event_id desc limit {C.RECENT_ROWS}""",
+order by receive_us desc, event_id desc limit 500""",
     "load_levels": f"""
 with {EVENTS}, levels as (select *, load_level as target_rate, receive_us - event_us as latency_us from mapped),
 {ranks('levels', 'target_rate')}, {depths('levels', 'target_rate')},
@@ -485,4 +391,7 @@ from sums join ranked using (target_rate) join deepest using (target_rate)""",
 with {EVENTS}, {depths('mapped')} select bucket_start_s, depth, held_buckets from depth""",
 }
 
-ORACLES: dict[str, str] = {**USER_ORACLES, **SYNTH_ORACLES, **EVENT_ORACLES}
+
+ORACLES: dict[str, str] = {**USER_ORACLES, **EVENT_ORACLES}
+ORACLES["feature_partitions"] = ORACLES["feature_table"]
+ORACLES["json_report"] = ORACLES["load_levels"]

@@ -17,7 +17,6 @@ from fluxmill.plans.feature_job import run_feature_job
 from fluxmill.plans.feature_table import feature_table as all_features
 from fluxmill.sources import adapters as A
 from fluxmill.sources import event_files as EF
-from fluxmill.sources import synthetic
 from fluxmill.sources import tables
 from fluxmill.streaming import asides, rollup
 from fluxmill.streaming import windows as stream_windows
@@ -33,9 +32,7 @@ BUCKET_SEC = 3600
 RUN_START_S = 1_704_067_200
 RUN_SEC = 30 * 86_400
 BASE_RATE = 100
-SYNTH_START_US = RUN_START_S * 1_000_000
-SYNTH_RATE = 100
-SYNTH_SEED = 42
+RECENT_ROWS = 500
 REPLAY_DELAY_US = 60_000_000
 DEDUP_DELAY_SEC = 86_400
 
@@ -157,6 +154,12 @@ def feature_table(spark, folder):
     return rounded(all_features(_users(spark, folder)))
 
 
+@query
+def feature_partitions(spark, folder):
+    """The table dealt out anew for writing."""
+    return rounded(all_features(_users(spark, folder), partitions=4))
+
+
 def _feature_run(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
     output = new_folder(spark, "feature-job")
     return run_feature_job(_users(spark, folder), output), output
@@ -180,20 +183,6 @@ def run_metrics(spark, folder):
     return report
 
 
-# -- seeded tables, one row per key of a given table --
-
-@query
-def synth_users(spark, folder):
-    keys = tables.read_table(spark, folder, "orders")
-    return rounded(synthetic.synth_users(keys, "o_orderkey", SYNTH_SEED), 4)
-
-
-@query
-def synth_events(spark, folder):
-    keys = tables.read_event_log(spark, folder)
-    return rounded(synthetic.synth_events(keys, "event_id", SYNTH_START_US, SYNTH_RATE, SYNTH_SEED), 4)
-
-
 # -- events: parsing, lateness, latency --
 
 @query
@@ -307,7 +296,7 @@ def stream_summary(spark, folder):
 
 @query
 def recent_latency(spark, folder):
-    return reports.recent_latency(_events(spark, folder))
+    return reports.recent_latency(_events(spark, folder), RECENT_ROWS)
 
 
 @query
@@ -315,6 +304,15 @@ def load_levels(spark, folder):
     return reports.load_levels(_events(spark, folder), BUCKET_SEC)
 
 
+@query
+def json_report(spark, folder):
+    """The load report, written as JSON and read again."""
+    path = new_folder(spark, "report")
+    report = reports.load_levels(_events(spark, folder), BUCKET_SEC)
+    tables.write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
 @query
 def backlog_depth(spark, folder):
     return backlog.backlog_depth(_events(spark, folder), BUCKET_SEC)
@@ -322,6 +320,24 @@ def backlog_depth(spark, folder):
 
 # -- streams, each run to the end of what is there --
 
+STREAM_FILES = 4
+
+
+def _in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The event log as a stream of several batches, in the order in which the events are received."""
+    path = new_folder(spark, "stream-source")
+    log = tables.read_event_log(spark, folder)
+    received = A.events_from_log(log).select(F.col("event_id").alias("number"), "receive_us")
+    low, high = received.agg(F.min("receive_us"), F.max("receive_us")).first()
+    width = (high - low) // STREAM_FILES + 1
+    part = F.floor((F.col("receive_us") - low) / width).alias("part")
+    joined = log.join(received.select("number", part), F.col("event_id") == F.col("number")).drop("number")
+    for n in range(STREAM_FILES):
+        joined.where(F.col("part") == n).drop("part").coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(joined.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return A.events_from_log(source)
+
+
 def _run_windows(spark: SparkSession, events: DataFrame, writer) -> tuple[str, object]:
     path = new_folder(spark, "stream-windows")
     aggregates = stream_windows.window_aggregates(events, WINDOW_SEC, MAX_LAG_SEC)
@@ -335,13 +351,13 @@ def _exact_columns(windows: DataFrame) -> DataFrame:
 
 @query
 def stream_window_metrics(spark, folder):
-    path, _ = _run_windows(spark, _event_stream(spark, folder), stream_windows.updates_writer)
+    path, _ = _run_windows(spark, _in_batches(spark, folder), stream_windows.updates_writer)
     return _exact_columns(stream_windows.read_windows(spark, path))
 
 
 @query
 def stream_closed_windows(spark, folder):
-    path, _ = _run_windows(spark, _event_stream(spark, folder), stream_windows.closed_writer)
+    path, _ = _run_windows(spark, _in_batches(spark, folder), stream_windows.closed_writer)
     return _exact_columns(stream_windows.read_windows(spark, path))
 
 
@@ -391,7 +407,7 @@ def stream_resume(spark, folder):
     log = tables.read_event_log(spark, folder)
     middle = F.lit(RUN_START_S + RUN_SEC // 2)
     first_half = F.unix_seconds(F.col("ts").cast("timestamp")) < middle
-    for arrived in (first_half, ~first_half):
+    for arrived in (first_half, ~F.coalesce(first_half, F.lit(False))):
         log.where(arrived).write.mode("append").parquet(f"{path}/source")
         source = spark.readStream.schema(log.schema).parquet(f"{path}/source")
         aggregates = stream_windows.window_aggregates(A.events_from_log(source), WINDOW_SEC, MAX_LAG_SEC)
@@ -404,7 +420,7 @@ def stream_resume(spark, folder):
 @query
 def stream_dedup_events(spark, folder):
     path = new_folder(spark, "stream-dedup")
-    replayed = A.with_replays(_event_stream(spark, folder), REPLAY_DELAY_US)
+    replayed = A.with_replays(_in_batches(spark, folder), REPLAY_DELAY_US)
     unique = dedup.stream_dedup(replayed, DEDUP_DELAY_SEC).select("event_id", "user_id", "event_type", "event_us")
     writer = asides.append_writer(unique, f"{path}/unique", f"{path}/checkpoint")
     stream_windows.run_available(writer)

@@ -6,6 +6,7 @@ import time
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -58,6 +59,12 @@ def _exact_writer(events: DataFrame, run: StreamRun) -> DataStreamWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        try:
+            keep(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
         good = EF.decoded_only(batch)
         rows = W.prepared(good, run.window_sec, run.max_lag_sec).select(*rollup.EVENT_COLUMNS)
         rollup.add_batch(rows, run.path("rollup"), batch_id, BACKLOG_BUCKET_SEC)
@@ -65,7 +72,6 @@ def _exact_writer(events: DataFrame, run: StreamRun) -> DataStreamWriter:
         V.write_version(kept, run.path("asides"), batch_id)
         corrupt = EF.quarantined(batch).select(*QUARANTINE.fieldNames())
         V.write_version(corrupt, run.path("quarantine"), batch_id)
-        batch.unpersist()
 
     checkpoint = run.path("checkpoints/exact")
     return events.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
@@ -119,19 +125,28 @@ def summary(spark: SparkSession, run: StreamRun) -> DataFrame:
 
 
 def run_for(spark: SparkSession, run: StreamRun, seconds: int, interval: str = "10 seconds") -> None:
-    """Run on a processing-time trigger for `seconds` (0: until stopped), then write the reports."""
+    """Run on a processing-time trigger for `seconds` (0: until stopped), then write the reports.
+
+    The reports are written however the run ends: by time, by stop() of a query from outside, by an
+    interrupt or by a failure, which is raised afterwards.
+    """
     started = time.time()
     queries = {
         name: writer.trigger(processingTime=interval).start() for name, writer in _writers(spark, run).items()
     }
     deadline = started + seconds if seconds else None
     try:
-        for query in queries.values():
-            query.awaitTermination(max(1, int(deadline - time.time())) if deadline else None)
+        while all(query.isActive for query in queries.values()):
+            if deadline and time.time() >= deadline:
+                break
+            time.sleep(0.2)
+        failed = [query.exception() for query in queries.values() if query.exception()]
+        if failed:
+            raise failed[0]
     finally:
         for query in queries.values():
             query.stop()
-    _finished(spark, run, queries, started)
+        _finished(spark, run, queries, started)
 
 
 def run_available(spark: SparkSession, run: StreamRun) -> None:
@@ -145,12 +160,25 @@ def run_available(spark: SparkSession, run: StreamRun) -> None:
     _finished(spark, run, queries, started)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in whatever store the path names."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def run_load_test(
     spark: SparkSession, source: str, output: str, rates: list[int] | None = None, **settings
 ) -> DataFrame:
-    """One run per load_<rate> directory, then one report row per rate."""
+    """One run per load_<rate> directory, then one report row per rate; absent directories are passed over."""
     rows = []
     for rate in rates or C.LOAD_RATES:
+        if not _exists(spark, f"{source}/load_{rate}"):
+            continue
         run = StreamRun(f"{source}/load_{rate}", f"{output}/load_{rate}", live_windows=False, **settings)
         run_available(spark, run)
         rows.append(
@@ -162,6 +190,8 @@ def run_load_test(
                 "queue_depth_max",
             )
         )
+    if not rows:
+        raise ValueError(f"no load_<rate> directory in {source}")
     report = reduce(DataFrame.unionByName, rows)
     write_report(report, f"{output}/load_levels")
     return report

@@ -7,30 +7,50 @@ from pyspark.sql import functions as F
 
 from fluxmill.functions.events import parsed_stamp_us
 from fluxmill.constants import UNKNOWN_TYPE
-from fluxmill.schemas import CORRUPT_COLUMN, EVENTS, EVENTS_WITH_CORRUPT
+from fluxmill.schemas import CORRUPT_COLUMN, EVENTS, EVENTS_WITH_CORRUPT, struct
 
 EVENT_GLOB = "evt_*.json"
+TEXT_EVENTS = struct(**{name: "string" for name in EVENTS_WITH_CORRUPT.fieldNames()})
 
 
 def decode_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """JSON text in a column (files, a log topic, a landing table) to event columns.
 
-    Text that is no event stays in _corrupt_record.
+    Text that is no JSON object stays in _corrupt_record. A field of another type is converted, or
+    null where it cannot be; the rest of the event counts. User ids that are no numbers become
+    numbers by a hash, so that distinct users stay distinct.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    decoded = lines.withColumn("event", F.from_json(value, EVENTS_WITH_CORRUPT, options))
+    decoded = lines.withColumn("event", F.from_json(value, TEXT_EVENTS, options))
     unread = F.when(F.col("event").isNull(), F.coalesce(F.col(value), F.lit("")))
     rest = [c for c in lines.columns if c != value]
     return decoded.select(
         *rest,
-        *[F.col("event").getField(c).alias(c) for c in EVENTS.fieldNames()],
+        *[_field(f.name, f.dataType.simpleString()).alias(f.name) for f in EVENTS.fields],
         F.coalesce(F.col("event").getField(CORRUPT_COLUMN), unread).alias(CORRUPT_COLUMN),
     )
 
 
+def _field(name: str, kind: str) -> Column:
+    text = F.col("event").getField(name)
+    if kind == "string":
+        return text
+    number = text.try_cast("double")
+    if kind == "double":
+        return number
+    whole = F.coalesce(text.try_cast("bigint"), number.try_cast("bigint"))
+    if name == "user_id":
+        whole = F.coalesce(whole, F.when(text.isNotNull(), F.xxhash64(text)))
+    return whole.try_cast(kind)
+
+
 def read_events(spark: SparkSession, path: str, glob: str = EVENT_GLOB) -> DataFrame:
-    """Events of a directory, one JSON object per line."""
-    return decode_lines(spark.read.option("pathGlobFilter", glob).text(path))
+    """Events of a directory, one JSON object per line, received when their file was written.
+
+    The receive time is the file's, so every read of the directory gives the same rows.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    return decode_lines(lines.select("value", F.unix_micros("_metadata.file_modification_time").alias("receive_us")))
 
 
 def stream_events(
