@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,6 +26,17 @@ ROWS_PACKED = 200_000
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+@functools.cache
+def _tokenizer(path: str) -> Tokenizer:
+    """One for each Python worker, without threads: each load leaves memory behind, and a task has one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 def _plan(path: str) -> tuple[regex.Pattern, regex.Pattern | None]:
     """The pre-token pattern, and the pattern of added tokens, which are split off before it."""
     with open(path) as file:
@@ -116,10 +129,7 @@ def _pieces(path: str):
         return pa.RecordBatch.from_arrays(columns, ["block", "at", "pieces"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        tokenizer = _tokenizer(path)
         last, rows, size = (None, 0), [], 0
         for batch in batches:
             block, place, word = batch.columns
