@@ -95,8 +95,10 @@ def rollup_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        add_batch(batch, path, batch_id, bucket_sec)
-        batch.unpersist()
+        try:
+            add_batch(batch, path, batch_id, bucket_sec)
+        finally:
+            batch.unpersist()
 
     return rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
 
