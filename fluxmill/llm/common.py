@@ -14,6 +14,8 @@ from fluxmill.workspace import stored
 # Bytes that str.split() takes for white space within ASCII are those of [\x20\x09-\x0D];
 # bytes.split() without an argument splits on exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
+# Links a task contracts at a time.
+LINK_BLOCK = 1_000_000
 
 
 def text_column(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
@@ -61,13 +63,34 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         labels = after
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (hi, lo) in blocks, each replaced by links of its nodes to the smallest they reach in the block."""
+    held: list[pa.RecordBatch] = []
+
+    def contracted() -> pa.RecordBatch:
+        hi, lo = (np.concatenate([batch.column(i).to_numpy() for batch in held]) for i in (0, 1))
+        nodes, at = np.unique(np.concatenate([hi, lo]), return_inverse=True)
+        roots = nodes[spanning(len(nodes), at[: len(hi)], at[len(hi) :])]
+        moved = roots != nodes
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(roots[moved])], ["hi", "lo"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= LINK_BLOCK:
+            yield contracted()
+            held = []
+    if held:
+        yield contracted()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (src, dst), longs without null: rows (node, root), root the smallest node.
 
-    Alternates the two star steps: each node hands its neighbours to the smallest of them. Every
-    round shuffles links only, is written to the shared folder, and the rounds grow with the
-    logarithm of the longest path. Nodes without a link have no row. The lowest neighbours are
-    stored before they are joined, so that Spark splits the join at a node with many links.
+    Blocks of links are contracted where they lie. What is left alternates the two star steps:
+    each node hands its neighbours to the smallest of them. Every round shuffles links only, is
+    written to the shared folder, and the rounds grow with the logarithm of the longest path.
+    Nodes without a link have no row. The lowest neighbours are stored before they are joined,
+    so that Spark splits the join at a node with many links.
     """
     pairs = stored(
         links.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
@@ -75,8 +98,8 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    seen = _digest(pairs)
-    while seen[0]:
+    pairs = stored(pairs.mapInArrow(_forest, "hi long, lo long"), "links")
+    while not _all_stars(pairs):
         both = pairs.select(F.col("hi").alias("node"), F.col("lo").alias("near")).unionAll(
             pairs.select(F.col("lo").alias("node"), F.col("hi").alias("near"))
         )
@@ -96,14 +119,14 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         pairs = stored(small, "links")
-        now = _digest(pairs)
-        if now == seen:
-            break
-        seen = now
     roots = pairs.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return roots.unionAll(pairs.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
-def _digest(pairs: DataFrame) -> tuple:
-    row = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo")), F.bit_xor(F.xxhash64("lo"))).first()
-    return tuple(row)
+def _all_stars(pairs: DataFrame) -> bool:
+    """Whether each node has one link down, or links up only: then the lower end is the root."""
+    ends = pairs.select(F.col("hi").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(
+        pairs.select(F.col("lo").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return sums.where("down + up > 1").agg(F.count("*")).first()[0] == 0

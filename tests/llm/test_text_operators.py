@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on rows with nulls, long and empty texts, repeats and clashing names."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fluxmill.llm import decontaminate, licenses, mixing, simhash, substrings, tokens, toxicity
+from fluxmill.llm.common import components
 
 
 def split(text):
@@ -109,6 +111,22 @@ def test_near_fingerprints_join_what_is_near(spark, distance, cell_rows):
     assert all((find(a) == find(b)) == (root(a) == root(b)) for a in ordered[:60] for b in ordered)
 
 
+@pytest.mark.parametrize("block", [3, 1_000_000])
+def test_components_of_paths_stars_and_cliques(spark, monkeypatch, block):
+    monkeypatch.setattr("fluxmill.llm.common.LINK_BLOCK", block)
+    order = random.Random(5).sample(range(-100, 400), 300)
+    path = list(zip(order[:120], order[1:121]))
+    star = [(order[150], x) for x in order[151:200]]
+    clique = [(a, b) for a in order[200:215] for b in order[200:215]]
+    links = [*path, *star, *clique, (order[250], order[251]), (order[251], order[250]), (order[260], order[260])]
+    expected = {}
+    for part in (order[:121], order[150:200], order[200:215], order[250:252]):
+        expected |= dict.fromkeys(part, min(part))
+    found = components(spark.createDataFrame(links, "src long, dst long").repartition(7)).collect()
+    assert len(found) == len(expected) and {r.node: r.root for r in found} == expected
+    assert components(spark.createDataFrame([], "src long, dst long")).collect() == []
+
+
 def test_keep_one(docs):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
