@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +20,21 @@ def cast_users(users: DataFrame) -> DataFrame:
     )
 
 
-def column_stats(users: DataFrame) -> DataFrame:
-    """Means, minima and maxima the features need: one row from one pass."""
-    return users.agg(
-        F.avg(not_nan(F.col("income"))).alias("income_mean"),
-        F.avg(not_nan(F.col("cart_value"))).alias("cart_mean"),
-        F.min("session_time").alias("session_min"),
-        F.max("session_time").alias("session_max"),
-        F.min("page_views").alias("views_min"),
-        F.max("page_views").alias("views_max"),
-    )
+def column_stats(users: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Means, minima and maxima the features need: one row from one pass.
+
+    `names` picks some of them. What is not asked for is not computed, so its column is not read:
+    a scalar subquery is not pruned from outside.
+    """
+    stats = {
+        "income_mean": F.avg(not_nan(F.col("income"))),
+        "cart_mean": F.avg(not_nan(F.col("cart_value"))),
+        "session_min": F.min("session_time"),
+        "session_max": F.max("session_time"),
+        "views_min": F.min("page_views"),
+        "views_max": F.max("page_views"),
+    }
+    return users.agg(*[stats[name].alias(name) for name in names or stats])
 
 
 def as_scalar(one_row: DataFrame) -> Column:
@@ -46,9 +53,13 @@ def fill_columns(stats: Column) -> dict[str, Column]:
     }
 
 
-def impute_mean(users: DataFrame) -> DataFrame:
-    """Null and NaN income and cart_value replaced by the column mean."""
-    return users.withColumns(fill_columns(as_scalar(column_stats(users).select("income_mean", "cart_mean"))))
+FILLED = {"income": "income_mean", "cart_value": "cart_mean"}
+
+
+def impute_mean(users: DataFrame, columns: Sequence[str] = ("income", "cart_value")) -> DataFrame:
+    """Null and NaN values of the columns, of income and cart_value, replaced by the column mean."""
+    fills = fill_columns(as_scalar(column_stats(users, [FILLED[c] for c in columns])))
+    return users.withColumns({c: fills[c] for c in columns})
 
 
 def scale_columns(stats: Column) -> dict[str, Column]:
@@ -63,5 +74,5 @@ def scale_columns(stats: Column) -> dict[str, Column]:
 
 
 def min_max_scale(users: DataFrame) -> DataFrame:
-    needed = column_stats(users).select("session_min", "session_max", "views_min", "views_max")
+    needed = column_stats(users, ["session_min", "session_max", "views_min", "views_max"])
     return users.withColumns(scale_columns(as_scalar(needed)))

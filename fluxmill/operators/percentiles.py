@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluxmill.workspace import BROADCAST_ROWS, fits_broadcast, stored
+from fluxmill.workspace import stored
 
 PRECISION_BITS = 7
 WIDEST_BITS = 20
@@ -68,7 +68,6 @@ def values_at_ranks(
     value: str,
     ranks: dict[str, Column],
     weight: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per key, with a bigint column per entry of `ranks`.
 
@@ -93,16 +92,15 @@ def values_at_ranks(
     )
     mid = mid.withColumn("before", _before([*keys, "top"], "mid"))
     in_mid = _join(mid, in_top, [*keys, "top"]).transform(_holding).select(*keys, "mid", "pick", "rank")
-    chosen = stored(in_mid, "value-ranges")
-
-    ranges = chosen.select(*keys, "mid").distinct()
-    if fits_broadcast(chosen, broadcast_rows):
-        values = _counted(_join(rows, F.broadcast(ranges), [*keys, "mid"]), [*keys, "mid"], F.col("v"), "v", "w")
-    else:
-        values = _join(_counted(rows, [*keys, "mid"], F.col("v"), "v", "w"), ranges, [*keys, "mid"])
+    picked = in_mid.groupBy(*keys, "mid").agg(F.collect_list(F.struct("pick", "rank")).alias("picks"))
+    # Stored with one row per range: Spark knows its size, so it is broadcast only when small; else
+    # the join with the rows is one of plain tables, whose hot ranges AQE splits.
+    chosen = stored(picked, "value-ranges")
 
+    values = _counted(_join(rows, chosen.select(*keys, "mid"), [*keys, "mid"]), [*keys, "mid"], F.col("v"), "v", "w")
     values = values.withColumn("before", _before([*keys, "mid"], "v"))
-    found = _join(values, chosen, [*keys, "mid"]).transform(_holding)
+    picked = _join(values, chosen, [*keys, "mid"]).select("*", F.inline("picks"))
+    found = picked.transform(_holding)
     picks = [F.max(F.when(F.col("pick") == name, F.col("v"))).alias(name) for name in ranks]
     return _complete(found.groupBy(*keys).agg(*picks), chosen, keys, list(ranks))
 
@@ -122,12 +120,11 @@ def floor_rank_percentiles(
     value: str,
     percents: list[int],
     weight: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per key with bigint columns p<percent>."""
     one = F.lit(1).cast("bigint")
     ranks = {f"p{p}": F.greatest(one, F.floor(F.col("total") * p / 100)) for p in percents}
-    return values_at_ranks(df, keys, value, ranks, weight, broadcast_rows)
+    return values_at_ranks(df, keys, value, ranks, weight)
 
 
 def as_ms(micros: Column) -> Column:

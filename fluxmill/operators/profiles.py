@@ -2,36 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxmill.functions.numbers import not_nan
 from fluxmill.workspace import stored
 
+PROFILED = ("session_time", "clicks", "income", "cart_value", "page_views")
+
 
-def fit_profile(users: DataFrame) -> DataFrame:
-    """One row per region with sums, counts and extremes, written to the shared folder.
+def fit_profile(users: DataFrame, columns: Sequence[str] = PROFILED) -> DataFrame:
+    """One row per region with sums, counts and extremes of the columns, written to the shared folder.
 
     A single pass with map-side combine: the shuffle carries one row per region and task however
-    large or skewed a region is. Region averages and global statistics both come from this table.
+    large or skewed a region is. Region averages need session_time and clicks; the global
+    statistics need all columns.
     """
     income, cart = not_nan(F.col("income")), not_nan(F.col("cart_value"))
-    partial = users.groupBy("region").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("session_time").alias("session_sum"),
-        F.count("session_time").alias("session_n"),
-        F.sum("clicks").alias("clicks_sum"),
-        F.count("clicks").alias("clicks_n"),
-        F.sum(income).alias("income_sum"),
-        F.count(income).alias("income_n"),
-        F.sum(cart).alias("cart_sum"),
-        F.count(cart).alias("cart_n"),
-        F.min("session_time").alias("session_min"),
-        F.max("session_time").alias("session_max"),
-        F.min("page_views").alias("views_min"),
-        F.max("page_views").alias("views_max"),
-    )
-    return stored(partial, "region-profile")
+    partials = {
+        "session_time": [
+            F.sum("session_time").alias("session_sum"),
+            F.count("session_time").alias("session_n"),
+            F.min("session_time").alias("session_min"),
+            F.max("session_time").alias("session_max"),
+        ],
+        "clicks": [F.sum("clicks").alias("clicks_sum"), F.count("clicks").alias("clicks_n")],
+        "income": [F.sum(income).alias("income_sum"), F.count(income).alias("income_n")],
+        "cart_value": [F.sum(cart).alias("cart_sum"), F.count(cart).alias("cart_n")],
+        "page_views": [F.min("page_views").alias("views_min"), F.max("page_views").alias("views_max")],
+    }
+    asked = [partial for column in columns for partial in partials[column]]
+    return stored(users.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), *asked), "region-profile")
 
 
 def profile_stats(profile: DataFrame) -> DataFrame:

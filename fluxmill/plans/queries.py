@@ -132,7 +132,7 @@ def onehot_region(spark, folder):
 @query
 def region_profile(spark, folder):
     users = _users(spark, folder)
-    joined = with_region_averages(users, fit_profile(users))
+    joined = with_region_averages(users, fit_profile(users, ["session_time", "clicks"]))
     return rounded(
         joined.select("user_id", "region", "region_avg_session", "region_avg_clicks", "session_vs_region_avg")
     )
@@ -145,7 +145,7 @@ def minmax_norm(spark, folder):
 
 @query
 def interaction(spark, folder):
-    filled = imputation.impute_mean(_users(spark, folder))
+    filled = imputation.impute_mean(_users(spark, folder), ["income"])
     return rounded(filled.select("user_id", X.interaction().alias("income_x_pageviews")))
 
 

@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows a lookup table may have to be broadcast; larger ones take the shuffle route.
-BROADCAST_ROWS = 200_000
-
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under spark.checkpoint.dir, the folder every executor can reach.
@@ -33,8 +30,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(stored_df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Row count of a stored table, which parquet answers from its footers."""
-    return stored_df.count() <= limit

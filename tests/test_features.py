@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +128,21 @@ def test_plan_has_no_shuffle_of_the_rows(spark):
     assert "hashpartitioning" not in main and "Python" not in plan
 
 
+def test_statistics_read_only_what_is_asked(spark):
+    path = new_folder(spark, "test-users")
+    users(spark, {}, {"region": "west"}).write.parquet(path)
+    stored_users = spark.read.parquet(path)
+
+    def scans(df):
+        return re.findall(r"ReadSchema: struct<(.*?)>", df._jdf.queryExecution().executedPlan().toString())
+
+    for schema in scans(imputation.impute_mean(stored_users, ["income"]).select("user_id", "income")):
+        assert "session_time" not in schema and "cart_value" not in schema
+    for schema in scans(imputation.min_max_scale(stored_users).select("session_time_norm", "page_views_norm")):
+        assert "income" not in schema and "cart_value" not in schema
+    assert set(fit_profile(stored_users, ["clicks"]).columns) == {"region", "rows", "clicks_sum", "clicks_n"}
+
+
 def test_region_lookup_by_shuffle_gives_the_same(spark):
     df = users(spark, *[{"region": r, "session_time": float(i)} for i, r in enumerate(["north", None, "west", "north"])])
     expected = feature_table(df).orderBy("user_id").collect()

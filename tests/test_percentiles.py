@@ -16,11 +16,18 @@ def groups(seed=3):
     return made
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_ranks_equal_brute_force(spark, broadcast_rows):
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ranks_equal_brute_force(spark, broadcast_limit):
     data = groups()
     df = spark.createDataFrame([(k, v) for k, values in data.items() for v in values], "k int, v long")
-    got = floor_rank_percentiles(df, ["k"], "v", [0, 50, 95, 99, 100], broadcast_rows=broadcast_rows).collect()
+    got = floor_rank_percentiles(df, ["k"], "v", [0, 50, 95, 99, 100]).collect()
     assert len(got) == len(data)
     for row in got:
         assert [row[f"p{p}"] for p in (0, 50, 95, 99, 100)] == [floor_rank(data[row["k"]], p) for p in (0, 50, 95, 99, 100)]
