@@ -7,17 +7,33 @@ from pyspark.sql import functions as F
 
 # Headers that a not-modified answer may bring up to date; all others stay the full response's.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
+# Query parameters that say where a visitor came from and never which resource is meant.
+TRACKING = r"^(utm_.*|ref|gclid|dclid|fbclid|msclkid|yclid|mc_cid|mc_eid)$"
 BUCKET = 100_000
 
 
+def _without_tracking(query: Column) -> Column:
+    """Parameters by name, those of one name in their own order; tracking parameters and empty ones go."""
+    name = lambda part: F.regexp_extract(part, r"(?s)^([^=]*)", 1)
+    parts = F.filter(F.split(query, "&"), lambda part: (part != "") & ~F.lower(name(part)).rlike(TRACKING))
+    placed = F.transform(parts, lambda part, i: F.struct(name(part).alias("name"), i.alias("i"), part.alias("part")))
+    return F.array_join(F.transform(F.array_sort(placed), lambda p: p["part"]), "&")
+
+
 def canonical_url(url: Column) -> Column:
-    """Host in lower case without scheme, www, m and standard port; path without fragment, query and last slash."""
+    """Host in lower case without scheme, www, m and standard port; path without last slash; query; no fragment.
+
+    The query tells resources apart and stays, its parameters by name; only those of TRACKING go.
+    Parameters without a value stay too. Names and values are compared as written, without decoding.
+    """
     bare = F.regexp_replace(F.trim(url), r"(?i)^[a-z][a-z0-9+.-]*://", "")
-    bare = F.regexp_replace(bare, r"[?#].*$", "")
+    bare = F.regexp_replace(bare, r"(?s)#.*$", "")
+    query = _without_tracking(F.regexp_extract(bare, r"(?s)^[^?]*\?(.*)$", 1))
+    bare = F.regexp_replace(bare, r"(?s)\?.*$", "")
     host = F.lower(F.regexp_extract(bare, r"^([^/]*)", 1))
     host = F.regexp_replace(F.regexp_replace(host, r":(80|443)$", ""), r"^(www|m)\.", "")
-    path = F.regexp_replace(F.regexp_extract(bare, r"^[^/]*(.*)$", 1), r"/+$", "")
-    return F.concat(host, path)
+    path = F.regexp_replace(F.regexp_extract(bare, r"(?s)^[^/]*(.*)$", 1), r"/+$", "")
+    return F.concat(host, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)))
 
 
 def _opaque(etag: Column) -> Column:
@@ -31,7 +47,7 @@ def resolve_revisits(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     records: record_id long, url string, captured long (any clock), kind 'response' or 'revisit',
     etag, last_modified, digest strings, headers map of strings with lower-case names.
 
-    The latest response of the same canonical URL captured before the revisit is taken (of several
+    The latest response of the same canonical URL (query included) captured before the revisit is taken (of several
     at one instant the one with the greatest record_id). status says
       resolved    the entity tags agree (weak comparison), or, where one is missing, the dates do
       unverified  neither side has a validator in common
