@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -320,22 +321,40 @@ def backlog_depth(spark, folder):
 
 # -- streams, each run to the end of what is there --
 
-STREAM_FILES = 4
+STREAM_BATCHES = 4
+ROWS_PER_FILE = 1_000_000
+
+
+def _write_in_order(spark: SparkSession, log: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Every row of the log once, in files of about rows_per_file rows whose times follow the receive time.
+
+    Rows without a receive time come first. The place of a row breaks ties, so that rows of one
+    time, or without one, are split over files as well. Returns the number of files.
+    """
+    number = max(STREAM_BATCHES, -(-log.count() // rows_per_file))
+    placed = log.withColumns({"receive_us": A.receive_time_us(), "place": F.monotonically_increasing_id()})
+    placed.repartitionByRange(number, "receive_us", "place").drop("receive_us", "place").write.parquet(path)
+    # One write ends its files in any order; a file stream takes them by time.
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files = [f.getPath() for f in system.listStatus(hadoop.Path(path)) if f.getPath().getName().startswith("part-")]
+    files.sort(key=lambda file: int(file.getName().split("-")[1]))
+    start = int(time.time() - len(files)) * 1000
+    for i, file in enumerate(files):
+        system.setTimes(file, start + i * 1000, -1)
+    times = [system.getFileStatus(file).getModificationTime() for file in files]
+    if any(after <= before for before, after in zip(times, times[1:])):
+        raise RuntimeError(f"{path} is in a store that does not keep file times")
+    return len(files)
 
 
 def _in_batches(spark: SparkSession, folder: str) -> DataFrame:
     """The event log as a stream of several batches, in the order in which the events are received."""
     path = new_folder(spark, "stream-source")
     log = tables.read_event_log(spark, folder)
-    received = A.events_from_log(log).select(F.col("event_id").alias("number"), "receive_us")
-    low, high = received.agg(F.min("receive_us"), F.max("receive_us")).first()
-    width = (high - low) // STREAM_FILES + 1
-    part = F.floor((F.col("receive_us") - low) / width).alias("part")
-    joined = log.join(received.select("number", part), F.col("event_id") == F.col("number")).drop("number")
-    for n in range(STREAM_FILES):
-        joined.where(F.col("part") == n).drop("part").coalesce(1).write.mode("append").parquet(path)
-    source = spark.readStream.schema(joined.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return A.events_from_log(source)
+    files = _write_in_order(spark, log, path)
+    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", max(1, -(-files // STREAM_BATCHES)))
+    return A.events_from_log(reader.parquet(path))
 
 
 def _run_windows(spark: SparkSession, events: DataFrame, writer) -> tuple[str, object]:

@@ -67,25 +67,35 @@ def _renamed_type() -> Column:
     )
 
 
-def events_from_log(log: DataFrame) -> DataFrame:
-    """The event log (batch or stream) with event and receive times and the reference fields.
+def event_time_us() -> Column:
+    """Event time of a row of the event log."""
+    return F.unix_micros(F.col("ts").cast("timestamp"))
 
-    The type is null for errors, some rows arrive one or three hours behind, and a tenth carry
-    a zero session time.
-    """
+
+def receive_time_us() -> Column:
+    """Receive time of a row of the event log: some rows arrive one or three hours behind. Null without id or time."""
     key = F.col("event_id")
-    event_us = F.unix_micros(F.col("ts").cast("timestamp"))
     delay = (
         F.lit(5000).cast("bigint")
         + (key % 50) * 1000
         + F.when(key % 97 == 5, F.lit(10_800_000_000)).when(key % 31 == 4, F.lit(4_500_000_000)).otherwise(F.lit(0))
     )
+    return event_time_us() + delay
+
+
+def events_from_log(log: DataFrame) -> DataFrame:
+    """The event log (batch or stream) with event and receive times and the reference fields.
+
+    The type is null for errors, some rows arrive one or three hours behind, and a tenth carry
+    a zero session time.
+    """
+    key = F.col("event_id")
     return log.select(
         key.alias("event_id"),
         "user_id",
         _renamed_type().alias("event_type"),
-        event_us.alias("event_us"),
-        (event_us + delay).alias("receive_us"),
+        event_time_us().alias("event_us"),
+        receive_time_us().alias("receive_us"),
         F.when(key % 10 == 0, F.lit(0.0)).otherwise(F.col("value")).alias("session_time"),
         (F.lit(1) + key % 20).cast("int").alias("page_views"),
         (key % 11).cast("int").alias("clicks"),
