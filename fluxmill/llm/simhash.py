@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxmill.llm.common import components, per_batch, spanning, text_column
+from fluxmill.llm.common import components, per_batch, row_key, spanning, text_column
 from fluxmill.workspace import stored
 
 SHINGLE = 4
@@ -190,6 +190,15 @@ def near_fingerprints(fps: DataFrame, distance: int = DISTANCE, cell_rows: int =
     return dealt.mapInArrow(_verify(distance), "src long, dst long")
 
 
+def _first_of_component(classes: DataFrame, distance: int, cell_rows: int) -> DataFrame:
+    """Rows (fp, first) of one row per fingerprint: first becomes the smallest of the fingerprint's component."""
+    links = near_fingerprints(classes, distance, cell_rows)
+    roots = stored(components(links).withColumnRenamed("node", "fp"), "roots")
+    rooted = classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return rooted.select("fp", "root").join(lowest, "root").select("fp", "first")
+
+
 def simhash_groups(docs: DataFrame, distance: int = DISTANCE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -203,21 +212,44 @@ def simhash_groups(docs: DataFrame, distance: int = DISTANCE, cell_rows: int = C
     """
     prints = stored(with_fingerprint(docs), "prints")
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    links = near_fingerprints(classes, distance, cell_rows)
-    roots = stored(components(links).withColumnRenamed("node", "fp"), "roots")
-    rooted = classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(lowest, "root").select("fp", "component_id"), "named")
+    named = stored(_first_of_component(classes, distance, cell_rows).withColumnRenamed("first", "component_id"), "named")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Rows of docs without near-copies: of each group the row with the smallest id stays, all columns kept.
+def _with_key(docs: DataFrame) -> DataFrame:
+    """Rows (row, text, no_id, key_id, key_text): the whole row of docs beside what tells rows apart."""
+    keys = [F.col("doc_id").isNull().alias("no_id"), *row_key("doc_id", "text")]
+    return docs.select(F.struct("*").alias("row"), "text", *keys)
 
-    Rows with a null id stay. Of rows that share id and fingerprint all stay or none.
+
+def keep_one(docs: DataFrame, distance: int = DISTANCE, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Rows of docs without near-copies: of each group of near-copies one row stays, all columns kept.
+
+    Decided row by row: the first by id, null ids last, stays (of several rows with this id the one
+    whose text has the smallest hash). Of rows that share id and text one stays, whichever it is
+    where their other columns differ. Rows of one id with unrelated texts are in groups of their own.
+
+    The keys of rows that go, and of rows of which one stays, are stored before they are joined,
+    so that few are broadcast and hot ones are split; repeated rows combine on the map side.
     """
-    groups = simhash_groups(docs, distance)
-    copies = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
+    key = ["no_id", "key_id", "key_text"]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = np.fromiter(map(fingerprint, text_column(batch)), np.uint64, batch.num_rows)
+        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints.view(np.int64))], [*key, "fp"])
+
+    printed = _with_key(docs).select("text", *key).mapInArrow(
+        per_batch(run), "no_id boolean, key_id long, key_text long, fp long"
+    )
+    keys = stored(printed.groupBy(*key, "fp").agg(F.count("*").alias("n")), "keys")
+    classes = stored(keys.groupBy("fp").agg(F.min(F.struct(*key)).alias("first")), "classes")
+    named = stored(_first_of_component(classes, distance, cell_rows), "named")
+    stays = F.col("first") == F.struct(*key)
+    found = keys.join(named, "fp").select(*key, "n", stays.alias("stays")).where("not stays or n > 1")
+    special = stored(found.select(*key, "stays"), "special")
+    rows = _with_key(docs).drop("text")
+    single = rows.join(special.drop("stays"), key, "left_anti").select("row.*")
+    repeated = rows.join(special.where("stays").drop("stays"), key, "left_semi")
+    return single.unionAll(repeated.groupBy(*key).agg(F.first("row").alias("row")).select("row.*"))
