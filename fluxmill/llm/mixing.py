@@ -195,9 +195,10 @@ def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
 def taken_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target and taken beside their own columns.
 
+    Own columns of these four names are replaced, all others kept.
     Nothing but the sizes is shuffled: the cut of each source is a row of a small table.
     """
-    named = ["size", "sources", "pattern", "place", "whole", "cut", "left", "words", "taken", "source_size", "target"]
+    named = ["size", "source_size", "target", "taken"]
     wide = docs.select(
         F.col("doc_id"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"),
@@ -206,7 +207,7 @@ def taken_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     )
     mixed, sources = mix(wide, seed=seed)
     own = F.col("sources")[0].eqNullSafe(sources["source"])
-    columns = [F.col("document")[c].alias(c) for c in docs.columns if c not in named]
+    columns = [F.col("document")[c].alias(c) for c in docs.columns if c.lower() not in named]
     return mixed.where("taken > 0").join(F.broadcast(sources), own).select(
         *columns, "size", "source_size", "target", "taken"
     )
