@@ -45,7 +45,8 @@ STAGES = [
     ("source mixing", mixture),
 ]
 
-# A classifier, fuzzy matching and seeded hashes of words are beyond SQL; the tests compare with brute force.
+# A classifier, fuzzy matching and seeded hashes of words are beyond SQL. Tests compare the operators
+# of the stages with brute force on small rows, not the result of run().
 ORACLE_SQL = None
 
 
