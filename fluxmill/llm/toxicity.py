@@ -24,7 +24,6 @@ RATE = 0.1
 PENALTY = 1e-4
 MINI_BATCH = 64
 THRESHOLD = 0.3
-NOTHING_KNOWN = -500.0  # the bias without any label: a score of practically 0
 FOLDS, HELD_OUT = 4, 2
 SEED = 11
 
@@ -35,6 +34,7 @@ class Model:
 
     weights: np.ndarray
     bias: float
+    fitted: bool = True
 
 
 def features(text: bytes, mark: np.ndarray) -> np.ndarray:
@@ -121,8 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     """Model from labelled rows that are not held out: about sample_rows of them at most, drawn by a seeded hash.
 
     A document with several labels counts as toxic if one of them says so; null labels and ids
-    are left out. Without any labelled text nothing is known to be toxic: every score is practically 0,
-    under any threshold above it. The model has a fixed size.
+    are left out. Without any labelled text every score is 0.5, which says nothing, and
+    no text counts as toxic: the model is not fitted. The model has a fixed size.
     """
     known = (
         with_fold(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")))
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     found = ranked.mapInArrow(per_batch(_featured), "rank long, toxic int, found binary")
     models = found.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, "weights binary, bias double").collect()
     if not models:
-        return Model(np.zeros(1 << BITS), NOTHING_KNOWN)
+        return Model(np.zeros(1 << BITS), 0.0, fitted=False)
     return Model(np.frombuffer(models[0].weights, np.float32).astype(np.float64), models[0].bias)
 
 
@@ -172,7 +172,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 def _scored(rows: DataFrame, model: Model, threshold: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model.weights.astype(np.float32))  # 4 MB, whatever the input
     scored = rows.mapInArrow(_score(shared, model.bias), "doc_id long, held_out boolean, score double")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return scored.withColumn("predicted", ((F.col("score") >= threshold) & F.lit(model.fitted)).cast("int"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -181,6 +181,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     Without any labelled text to fit on (no labels, null ones, or none outside the held-out fold) all rows stay.
     """
     model = fit(docs, labels)
+    if not model.fitted:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model.weights.astype(np.float32))
     bias = model.bias
 
