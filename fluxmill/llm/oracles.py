@@ -85,3 +85,35 @@ with recursive usable as (
 select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
 from embeddings join lowest on vec_id = lowest.a left join counted on vec_id = counted.a
 """
+
+ORACLES["op11_reversed_search"] = r"""
+with texts as (
+    select row_number() over () as r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+    from documents
+), items as (
+    select row_number() over () as k, item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+    from benchmark
+), totals as (
+    select count(*)::bigint as n_docs, sum(len(t))::bigint as n_terms from texts where len(t) > 0
+), counts as (
+    select r, doc_id, len(t)::bigint as n, term, count(*)::bigint as tf
+    from texts, unnest(t) as u(term) group by all
+), weights as (
+    select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from counts, totals group by term, n_docs
+), wanted as (
+    select k, item_id, term, count(*)::bigint as times from items, unnest(t) as u(term) group by all
+), scored as (
+    select k, item_id, doc_id, r,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::bigint as score
+    from wanted join weights using (term) join counts using (term), totals group by all
+), placed as (
+    select *, row_number() over (partition by k order by score desc, doc_id nulls last) as place
+    from scored where score > 0
+)
+select item_id, place::int as rank, doc_id, score from placed where place <= 10
+"""

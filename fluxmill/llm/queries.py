@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxmill.llm import decontaminate, licenses, mixing, preference, revisits, simhash, substrings, tokens, toxicity, vectors
+from fluxmill.llm import (
+    decontaminate,
+    licenses,
+    line_labels,
+    mixing,
+    preference,
+    reversed_search,
+    revisits,
+    runs,
+    simhash,
+    substrings,
+    tokens,
+    toxicity,
+    vectors,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,3 +102,22 @@ def op9_vector_groups(spark, folder):
 @query
 def op10_toxicity(spark, folder):
     return toxicity.toxicity_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query
+def op11_reversed_search(spark, folder):
+    return reversed_search.rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query
+def op12_line_quality(spark, folder):
+    judged = line_labels.judge_lines(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return judged.select(
+        *[c for c in judged.columns if c != "is_content"],
+        F.size(F.filter("is_content", lambda line: line)).alias("n_content_lines"),
+    )
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    return runs.run_digests(runs.period_runs(_table(spark, folder, "documents"), runs.with_tail))
