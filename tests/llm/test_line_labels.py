@@ -1,0 +1,104 @@
+"""Line labelling: counts against brute force, the field against listing all ways, verdicts on labelled documents."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from fluxmill.llm import line_labels as L
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    places = {}
+    for i in range(len(words) - 4):
+        places.setdefault(tuple(words[i : i + 5]), []).append(i)
+    covered = {i + k for where in places.values() if len(where) > 1 for i in where for k in range(5)}
+    lines = text.split("\n")
+    copies = sum(bool(WORD.search(line)) and line in lines[:i] for i, line in enumerate(lines))
+    failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), copies, len(covered), failed
+
+
+def random_text(draw):
+    pieces = ["a", "bé", "漢字", "#", "*x", " ", "\t", "\n", "\n", "\r\n", "same line", "a b c d e", " ", "\x1c", "Ü!"]
+    return "".join(draw.choice(pieces) + draw.choice([" ", "", "\n"]) for _ in range(draw.randint(0, 40)))
+
+
+def test_counts(spark, docs):
+    draw = random.Random(8)
+    rows = [(i, random_text(draw)) for i in range(400)] + [(r.doc_id, r.text) for r in docs.collect()]
+    table = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as good", "2 as rank", "3 as lines")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    judged = L.judge_lines(table, labels).collect()
+    got = sorted((tuple(r)[:7] for r in judged), key=repr)
+    assert got == sorted(((doc_id, *brute_counts(text)) for doc_id, text in rows), key=repr)
+    assert all(r.kept == (not r.base_failed) and r.content_share == 1.0 for r in judged)
+    lines = {(r.doc_id, r.n_words): len(r.is_content) for r in judged}
+    for doc_id, text in rows:
+        with_words = sum(bool(WORD.search(line)) for line in (text or "").split("\n"))
+        assert lines[doc_id, len(WORD.findall(text or ""))] == with_words
+
+
+def ways(field, scores):
+    """Score of each labelling of a few lines."""
+    for states in itertools.product((0, 1), repeat=len(scores)):
+        total = field.first[states[0]] + sum(s for s, state in zip(scores, states) if state)
+        yield total + sum(field.turns[a, b] for a, b in zip(states, states[1:])), states
+
+
+def test_field_against_all_ways():
+    draw = np.random.default_rng(2)
+    for _ in range(30):
+        field = L.Field(np.zeros(L.N_BUCKETS), draw.normal(size=(2, 2)), draw.normal(size=2))
+        sizes = draw.integers(1, 7, 5)
+        owner = np.repeat([0, 2, 3, 7, 9], sizes)  # documents without lines lie between
+        scores = draw.normal(size=len(owner)) * 2
+        state = L.viterbi(field, scores, owner)
+        content, turns, first = L._expected(field, scores, owner)
+        all_turns, all_first = np.zeros((2, 2)), np.zeros(2)
+        for document in np.unique(owner):
+            at = owner == document
+            each = list(ways(field, scores[at]))
+            assert tuple(state[at]) == max(each)[1]
+            weight = np.exp([total for total, _ in each])
+            weight /= weight.sum()
+            marks = np.array([states for _, states in each])
+            assert np.allclose(content[at], weight @ marks)
+            for chance, (_, states) in zip(weight, each):
+                all_first[states[0]] += chance
+                for a, b in zip(states, states[1:]):
+                    all_turns[a, b] += chance
+        assert np.allclose(turns, all_turns) and np.allclose(first, all_first)
+    assert len(L.viterbi(field, np.zeros(0), np.zeros(0, int))) == 0
+
+
+def test_verdicts_on_documents_not_fitted_on(spark):
+    """Good and bad documents of the given tables: those the base rule lets pass are told apart."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    shown = labels.where("doc_id % 2 = 0")
+    judged = L.judge_lines(docs, shown).where("not base_failed")
+    rest = judged.join(labels.where("doc_id % 2 = 1"), "doc_id").select("quality", "kept", "doc_id").collect()
+    good = [r.kept for r in rest if r.quality == 1]
+    bad = [r.kept for r in rest if r.quality == 0]
+    assert len(good) > 1_000 and len(bad) > 60
+    assert sum(good) / len(good) > 0.995 and sum(bad) / len(bad) < 0.1
+    again = L.judge_lines(docs.repartition(5), shown).where("not base_failed").select("doc_id", "content_share")
+    before = judged.select("doc_id", "content_share")
+    assert before.exceptAll(again).count() == 0
+
+
+@pytest.mark.parametrize("quality", [[1, 1, 1], [0, 0, 0], [None, None, None], [1, 0, 7]])
+def test_odd_labels(spark, docs, no_docs, quality):
+    labels = spark.createDataFrame(list(zip([1, 4, 12], quality)) + [(None, 0), (99, 0)], "doc_id long, quality int")
+    judged = L.judge_lines(docs, labels).collect()
+    assert len(judged) == docs.count()
+    if quality != [1, 0, 7]:
+        assert all(r.content_share == 1.0 for r in judged)
+    assert L.judge_lines(no_docs, labels).count() == 0
