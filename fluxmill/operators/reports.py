@@ -76,25 +76,36 @@ def summary_of(arrived: DataFrame, depth: DataFrame) -> DataFrame:
 
     Accepted and late events count alike. Rows whose stamp was unusable are errors.
     """
+    usable = arrived.where("stamp_ok").withColumn("all", F.lit(1))
+    return summary_from(arrived, _report_percentiles(usable, ["all"], "n"), F.col("latency_us"), depth)
+
+
+def summary_from(
+    arrived: DataFrame, percentiles: DataFrame, largest: Column, depth: DataFrame, top: DataFrame | None = None
+) -> DataFrame:
+    """The summary from counts of arrivals, one row of percentiles, their largest latency, and depths.
+
+    `top` is one row max_us in place of the largest latency of the arrivals.
+    """
     good = F.when(F.col("stamp_ok"), F.col("n")).otherwise(0)
     bad = F.when(F.col("stamp_ok"), 0).otherwise(F.col("n"))
     totals = arrived.agg(
         F.coalesce(F.sum(good), F.lit(0)).cast("bigint").alias("total_processed"),
         F.coalesce(F.sum(bad), F.lit(0)).cast("bigint").alias("total_errors"),
         _seconds(F.min("first_receive_us"), F.max("last_receive_us")).alias("seconds"),
-        F.max(F.when(F.col("stamp_ok"), F.col("latency_us"))).alias("max_us"),
+        F.max(F.when(F.col("stamp_ok"), largest.cast("bigint"))).alias("max_us"),
     )
-    usable = arrived.where("stamp_ok").withColumn("all", F.lit(1))
-    latency = as_scalar(_report_percentiles(usable, ["all"], "n"))
+    latency = as_scalar(percentiles)
     deepest = as_scalar(depth_summary(depth))
     zero = F.lit(0.0)
+    max_us = F.col("max_us") if top is None else as_scalar(top).getField("max_us")
     return totals.select(
         "total_processed",
         "total_errors",
         round_to(F.col("seconds"), 2).alias("elapsed_sec"),
         _per_second(F.col("total_processed"), F.col("seconds")).alias("throughput_per_s"),
-        *[F.coalesce(latency.getField(name), zero).alias(name) for name in PERCENTILE_COLUMNS],
-        F.coalesce(round_to(as_ms(F.col("max_us")), 2), zero).alias("latency_max_ms"),
+        *[F.coalesce(round_to(latency.getField(name), 2), zero).alias(name) for name in PERCENTILE_COLUMNS],
+        F.coalesce(round_to(as_ms(max_us), 2), zero).alias("latency_max_ms"),
         F.coalesce(deepest.getField("queue_depth_max"), F.lit(0).cast("bigint")).alias("queue_depth_max"),
         F.coalesce(deepest.getField("queue_depth_avg"), zero).alias("queue_depth_avg"),
     )

@@ -171,12 +171,16 @@ def window_latency(rows: DataFrame) -> DataFrame:
 
 # -- the whole window row --
 
-def assembled(parts: DataFrame, *others: DataFrame, window_sec: int) -> DataFrame:
-    """The 13 report columns from per-window parts; windows with late events only show zeros."""
+def assembled(parts: DataFrame, *others: DataFrame, window_sec: int, keep_start: bool = False) -> DataFrame:
+    """The 13 report columns from per-window parts; windows with late events only show zeros.
+
+    `keep_start` adds window_start_s, the key of the parts.
+    """
     joined = reduce(lambda left, right: left.join(right, "window_start_s", "left"), others, parts)
     start = F.col("window_start_s")
     rounded = report_columns()
     return joined.select(
+        *(["window_start_s"] if keep_start else []),
         E.iso_utc(start).alias("window_start"),
         E.iso_utc(start + window_sec).alias("window_end"),
         "message_count",

@@ -153,12 +153,6 @@ select user_id, {rounded('income * page_views')} as income_x_pageviews from fill
 }
 
 
-# -- seeded tables --
-
-def cubed(x: str) -> str:
-    return f"(({x}) * ((({x}) * ({x})) % {PRIME}) % {PRIME})"
-
-
 # -- events --
 
 EVENTS = """
@@ -230,8 +224,9 @@ def iso(seconds: str) -> str:
     return f"strftime(make_timestamp(({seconds}) * 1000000::bigint), '%Y-%m-%dT%H:%M:%S+00:00')"
 
 
-WINDOW_REPORT = f"""
-with {EVENTS}, {ROWS}, {ranks('good', 'window_start_s')},
+def window_report(events: str = EVENTS) -> str:
+    return f"""
+with {events}, {ROWS}, {ranks('good', 'window_start_s')},
 types as (
   select window_start_s, '{{' || string_agg('"' || kind || '":' || n, ',' order by kind) || '}}' as event_counts
   from (select window_start_s, kind, count(*) as n from good group by all) group by 1),
@@ -250,6 +245,28 @@ select {iso('window_start_s')} as window_start, {iso(f'window_start_s + {WINDOW_
 from late left join sums using (window_start_s) left join types using (window_start_s)
 left join ranked using (window_start_s)"""
 
+
+WINDOW_REPORT = window_report()
+
+
+def arrived(parts: int, of: int) -> str:
+    """The events of the first parts of the log by receive time."""
+    return EVENTS.replace("mapped as (", "logged as (") + f""", mapped as (
+  select * from logged where receive_us < (
+    select case when {parts} = {of} then max(receive_us) + 1
+           else min(receive_us) + (max(receive_us) - min(receive_us)) * {parts} // {of} end from logged)
+)"""
+
+
+def final_windows(events: str) -> str:
+    """Windows past their end by max(window, allowed lag) at the last receive time."""
+    wait = WINDOW_SEC + max(WINDOW_SEC, MAX_LAG_SEC)
+    return f"""
+select * from ({window_report(events)})
+where epoch_us(cast(window_start as timestamptz)) + {wait * 1_000_000} <= (
+  with {events} select max(receive_us) from mapped)"""
+
+
 STREAM_TYPES = ", ".join(
     f"cast(count_if(kind = '{t}') as bigint) as n_{t}" for t in [*C.EVENT_TYPES, C.UNKNOWN_TYPE]
 )
@@ -291,8 +308,11 @@ def rate(count: str, low: str, high: str) -> str:
 
 FRACTION = f"((bucket_start_s - {RUN_START_S}) / {RUN_SEC}e0)"
 
-SUMMARY = f"""
-with {EVENTS}, {RAW_EVENTS}, usable as (select 1 as one, receive_us - event_us as latency_us from raw where stamp_ok),
+def summary(latest: str = "") -> str:
+    """`latest` orders and limits the events whose latencies count."""
+    return f"""
+with {EVENTS}, {RAW_EVENTS},
+usable as (select 1 as one, receive_us - event_us as latency_us from raw where stamp_ok {latest}),
 {ranks('usable', 'one')}, {depths('raw')}
 select (select count(*) from raw where stamp_ok) as total_processed,
   (select count(*) from raw where not stamp_ok) as total_errors,
@@ -303,6 +323,11 @@ select (select count(*) from raw where stamp_ok) as total_processed,
   (select {rounded('cast(sum(depth * held_buckets) as double) / sum(held_buckets)', 2)} from depth) as queue_depth_avg
 from ranked"""
 
+
+SUMMARY = summary()
+LATEST = "order by receive_us desc, cast(event_id as varchar) desc limit 500"
+
+
 EVENT_ORACLES = {
     "parse_events": f"""
 with {EVENTS}, {RAW_EVENTS}
@@ -362,6 +387,9 @@ select window_start_s, p50 / 1000 as latency_p50_ms, p95 / 1000 as latency_p95_m
 from ranked""",
     "window_metrics": WINDOW_REPORT,
     "stream_window_exact": WINDOW_REPORT,
+    "stream_published": final_windows(arrived(2, 4)),
+    "stream_corrections": final_windows(EVENTS),
+    "stream_merged_batches": WINDOW_REPORT,
     "stream_window_metrics": STREAM_WINDOWS,
     "stream_resume": STREAM_WINDOWS,
     "stream_closed_windows": f"""
@@ -370,6 +398,15 @@ where (window_start_s + {WINDOW_SEC}) * 1000 <= (
   with {EVENTS}, {ROWS} select max(event_us) // 1000 - {max(WINDOW_SEC, MAX_LAG_SEC) * 1000} from good)""",
     "stream_summary": SUMMARY,
     "stream_run_summary": SUMMARY,
+    "stream_recent_summary": summary(LATEST),
+    "stream_recent_latency": f"""
+with {EVENTS}
+select cast(event_id as varchar) as event_id, receive_us, receive_us - event_us as latency_us from mapped {LATEST}""",
+    "stream_sketched_windows": f"""
+select cast(epoch_us(cast(window_start as timestamptz)) // 1000000 as bigint) as window_start_s,
+  message_count, late_count, event_counts, total_cart_value, latency_max_ms,
+  true as users_within, true as latency_within
+from ({WINDOW_REPORT})""",
     "recent_latency": f"""
 with {EVENTS}
 select event_id, receive_us, receive_us - event_us as latency_us from mapped

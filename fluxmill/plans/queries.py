@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluxmill import constants as C
 from fluxmill.functions import features as X
 from fluxmill.functions.events import latency_us
 from fluxmill.functions.numbers import round_to
@@ -19,10 +19,10 @@ from fluxmill.plans.feature_table import feature_table as all_features
 from fluxmill.sources import adapters as A
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import tables
-from fluxmill.streaming import asides, rollup
+from fluxmill.streaming import asides, published, recent, rollup, sketches
 from fluxmill.streaming import windows as stream_windows
 from fluxmill.streaming.progress import progress_rows
-from fluxmill.workspace import new_folder
+from fluxmill.workspace import new_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,7 @@ BASE_RATE = 100
 RECENT_ROWS = 500
 REPLAY_DELAY_US = 60_000_000
 DEDUP_DELAY_SEC = 86_400
+MERGED_BATCHES = 8
 
 REGISTRY: dict[str, Query] = {}
 
@@ -321,47 +322,42 @@ def backlog_depth(spark, folder):
 
 # -- streams, each run to the end of what is there --
 
-STREAM_BATCHES = 4
-ROWS_PER_FILE = 1_000_000
+STREAM_PARTS = 4
 
 
-def _write_in_order(spark: SparkSession, log: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Every row of the log once, in files of about rows_per_file rows whose times follow the receive time.
+def _receive_part(spark: SparkSession, folder: str, parts: int = STREAM_PARTS) -> Column:
+    """The part, 0 to parts - 1, of the log's receive time that a row arrives in; 0 without a receive time."""
+    log = tables.read_event_log(spark, folder)
+    low, high = log.agg(F.min(A.receive_time_us()), F.max(A.receive_time_us())).first()
+    if low is None:
+        return F.lit(0)
+    cuts = [low + (high - low) * i // parts for i in range(1, parts)]
+    return F.coalesce(sum((A.receive_time_us() >= cut).cast("int") for cut in cuts), F.lit(0))
+
+
+def _as_it_comes(spark: SparkSession, folder: str, path: str, start, parts: int = STREAM_PARTS, until: int = STREAM_PARTS):
+    """The event log as a stream: each part of it arrives, then what `start` makes of the source runs to its end.
 
-    Rows without a receive time come first. The place of a row breaks ties, so that rows of one
-    time, or without one, are split over files as well. Returns the number of files.
+    Each run goes on from the checkpoint of the one before. `until` parts arrive.
     """
-    number = max(STREAM_BATCHES, -(-log.count() // rows_per_file))
-    placed = log.withColumns({"receive_us": A.receive_time_us(), "place": F.monotonically_increasing_id()})
-    placed.repartitionByRange(number, "receive_us", "place").drop("receive_us", "place").write.parquet(path)
-    # One write ends its files in any order; a file stream takes them by time.
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    system = hadoop.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    files = [f.getPath() for f in system.listStatus(hadoop.Path(path)) if f.getPath().getName().startswith("part-")]
-    files.sort(key=lambda file: int(file.getName().split("-")[1]))
-    start = int(time.time() - len(files)) * 1000
-    for i, file in enumerate(files):
-        system.setTimes(file, start + i * 1000, -1)
-    times = [system.getFileStatus(file).getModificationTime() for file in files]
-    if any(after <= before for before, after in zip(times, times[1:])):
-        raise RuntimeError(f"{path} is in a store that does not keep file times")
-    return len(files)
-
-
-def _in_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """The event log as a stream of several batches, in the order in which the events are received."""
-    path = new_folder(spark, "stream-source")
     log = tables.read_event_log(spark, folder)
-    files = _write_in_order(spark, log, path)
-    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", max(1, -(-files // STREAM_BATCHES)))
-    return A.events_from_log(reader.parquet(path))
+    part = _receive_part(spark, folder, parts)
+    for number in range(until):
+        log.where(part == number).write.mode("append").parquet(f"{path}/source")
+        stream = spark.readStream.schema(log.schema).parquet(f"{path}/source")
+        finished = stream_windows.run_available(start(stream))
+    return finished
 
 
-def _run_windows(spark: SparkSession, events: DataFrame, writer) -> tuple[str, object]:
+def _run_windows(spark: SparkSession, folder: str, writer) -> str:
     path = new_folder(spark, "stream-windows")
-    aggregates = stream_windows.window_aggregates(events, WINDOW_SEC, MAX_LAG_SEC)
-    finished = stream_windows.run_available(writer(aggregates, f"{path}/windows", f"{path}/checkpoint"))
-    return f"{path}/windows", finished
+
+    def start(stream: DataFrame):
+        aggregates = stream_windows.window_aggregates(A.events_from_log(stream), WINDOW_SEC, MAX_LAG_SEC)
+        return writer(aggregates, f"{path}/windows", f"{path}/checkpoint")
+
+    _as_it_comes(spark, folder, path, start)
+    return f"{path}/windows"
 
 
 def _exact_columns(windows: DataFrame) -> DataFrame:
@@ -370,14 +366,56 @@ def _exact_columns(windows: DataFrame) -> DataFrame:
 
 @query
 def stream_window_metrics(spark, folder):
-    path, _ = _run_windows(spark, _in_batches(spark, folder), stream_windows.updates_writer)
-    return _exact_columns(stream_windows.read_windows(spark, path))
+    return _exact_columns(stream_windows.read_windows(spark, _run_windows(spark, folder, stream_windows.updates_writer)))
 
 
 @query
 def stream_closed_windows(spark, folder):
-    path, _ = _run_windows(spark, _in_batches(spark, folder), stream_windows.closed_writer)
-    return _exact_columns(stream_windows.read_windows(spark, path))
+    return _exact_columns(stream_windows.read_windows(spark, _run_windows(spark, folder, stream_windows.closed_writer)))
+
+
+def _published(spark: SparkSession, folder: str, until: int) -> DataFrame:
+    path = new_folder(spark, "stream-published")
+    published.start_published(spark, f"{path}/published")
+
+    def publish(rows: DataFrame, batch_id: int) -> None:
+        published.publish_batch(rows, f"{path}/tables", f"{path}/published", batch_id, WINDOW_SEC, MAX_LAG_SEC)
+
+    def start(stream: DataFrame):
+        return rollup.rollup_writer(
+            A.events_from_log(stream), f"{path}/tables", f"{path}/checkpoint", WINDOW_SEC, MAX_LAG_SEC, BUCKET_SEC, publish
+        )
+
+    _as_it_comes(spark, folder, path, start, until=until)
+    return published.read_published(spark, f"{path}/published")
+
+
+@query
+def stream_published(spark, folder):
+    """The stream stops half-way: the windows closed by then are there, and no others."""
+    return _published(spark, folder, STREAM_PARTS // 2)
+
+
+@query
+def stream_corrections(spark, folder):
+    """At the end, late events have corrected the windows published before they came."""
+    return _published(spark, folder, STREAM_PARTS)
+
+
+@query
+def stream_merged_batches(spark, folder):
+    """Batches are replayed before and after their folders were merged."""
+    path = new_folder(spark, "stream-merged")
+    rollup.start_rollup(spark, path)
+    rows = rollup.batch_rows(_events(spark, folder), WINDOW_SEC, MAX_LAG_SEC)
+    hour = F.coalesce(F.floor(F.col("receive_us") / F.lit(3_600_000_000)), F.lit(0))
+    batches = [rows.where(F.pmod(hour, F.lit(MERGED_BATCHES)) == i) for i in range(MERGED_BATCHES)]
+    for i, batch in enumerate(batches):
+        for replay in (i, i - 1, i - 4):
+            if replay >= 0:
+                rollup.add_batch(batches[replay], path, replay, BUCKET_SEC)
+        rollup.compact(spark, path, i, fanout=3)
+    return _flat(rollup.read_windows(spark, path, WINDOW_SEC))
 
 
 def _run_rollup(spark: SparkSession, events: DataFrame, path: str) -> None:
@@ -402,6 +440,83 @@ def stream_run_summary(spark, folder):
     return rollup.read_summary(spark, f"{path}/tables", BUCKET_SEC)
 
 
+def _rank_misses(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """For each window, how far the ranks of its estimated percentiles lie from those asked for, at most (0 to 1)."""
+    found = estimates.select("window_start_s", *[F.col(f"latency_p{p}_ms") for p in C.PERCENTS])
+    latency_ms = F.col("latency_us") / F.lit(1000)
+    misses = []
+    for p in C.PERCENTS:
+        at = F.col(f"latency_p{p}_ms")
+        below, upto = F.avg((latency_ms < at).cast("int")), F.avg((latency_ms <= at).cast("int"))
+        misses.append(F.greatest(below - F.lit(p / 100), F.lit(p / 100) - upto, F.lit(0.0)))
+    joined = W.accepted(rows).select("window_start_s", "latency_us").join(found, "window_start_s")
+    return joined.groupBy("window_start_s").agg(F.greatest(*misses).alias("miss"))
+
+
+@query
+def stream_sketched_windows(spark, folder):
+    """Users and percentiles of mergeable sketches over several batches, beside the exact ones: within the bounds or not."""
+    path = new_folder(spark, "stream-sketches")
+    sketches.start_sketches(spark, f"{path}/tables")
+
+    def start(stream: DataFrame):
+        rows = rollup.batch_rows(A.events_from_log(stream), WINDOW_SEC, MAX_LAG_SEC)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            sketches.add_batch(batch, f"{path}/tables", batch_id, BUCKET_SEC)
+            sketches.compact(spark, f"{path}/tables", batch_id, fanout=2)
+
+        return rows.writeStream.option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write)
+
+    _as_it_comes(spark, folder, path, start)
+    estimates = stored(sketches.read_windows(spark, f"{path}/tables", WINDOW_SEC, keep_start=True), "sketched")
+    rows = _rows(spark, folder)
+    exact = W.unique_users(rows).withColumnRenamed("unique_users", "exact_users")
+    off = F.abs(F.col("unique_users") - F.col("exact_users"))
+    one_rank = F.lit(1.0) / F.col("message_count")  # ranks of few events are coarse
+    judged = estimates.join(exact, "window_start_s", "left").join(_rank_misses(rows, estimates), "window_start_s", "left")
+    return judged.select(
+        "window_start_s",
+        "message_count",
+        "late_count",
+        F.to_json("event_counts").alias("event_counts"),
+        "total_cart_value",
+        "latency_max_ms",
+        F.coalesce(off <= sketches.USER_ERROR * F.col("exact_users"), F.col("unique_users") == 0).alias("users_within"),
+        F.coalesce(F.col("miss") <= sketches.RANK_ERROR + one_rank, F.lit(True)).alias("latency_within"),
+    )
+
+
+def _run_recent(spark: SparkSession, folder: str, shape) -> str:
+    """Rollup and recent latencies of the log as it comes, over restarts."""
+    path = new_folder(spark, "stream-recent")
+    recent.start_recent(spark, f"{path}/recent")
+    rollup.start_rollup(spark, f"{path}/tables")
+
+    def start(stream: DataFrame):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rollup.add_batch(rollup.batch_rows(batch), f"{path}/tables", batch_id, BUCKET_SEC)
+            recent.add_batch(batch, f"{path}/recent", batch_id, RECENT_ROWS)
+            recent.compact(spark, f"{path}/recent", batch_id, RECENT_ROWS, fanout=2)
+
+        return shape(stream).writeStream.option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write)
+
+    _as_it_comes(spark, folder, path, start)
+    return path
+
+
+@query
+def stream_recent_latency(spark, folder):
+    return recent.read_recent(spark, f"{_run_recent(spark, folder, A.events_from_log)}/recent", RECENT_ROWS)
+
+
+@query
+def stream_recent_summary(spark, folder):
+    """The run summary with the percentiles of the latest latencies."""
+    path = _run_recent(spark, folder, lambda log: EF.parse_events(A.raw_events_from_log(log)))
+    return recent.read_summary(spark, f"{path}/tables", f"{path}/recent", RECENT_ROWS, BUCKET_SEC)
+
+
 @query
 def stream_late(spark, folder):
     path = new_folder(spark, "stream-late")
@@ -439,14 +554,19 @@ def stream_resume(spark, folder):
 @query
 def stream_dedup_events(spark, folder):
     path = new_folder(spark, "stream-dedup")
-    replayed = A.with_replays(_in_batches(spark, folder), REPLAY_DELAY_US)
-    unique = dedup.stream_dedup(replayed, DEDUP_DELAY_SEC).select("event_id", "user_id", "event_type", "event_us")
-    writer = asides.append_writer(unique, f"{path}/unique", f"{path}/checkpoint")
-    stream_windows.run_available(writer)
+
+    def start(stream: DataFrame):
+        replayed = A.with_replays(A.events_from_log(stream), REPLAY_DELAY_US)
+        unique = dedup.stream_dedup(replayed, DEDUP_DELAY_SEC).select("event_id", "user_id", "event_type", "event_us")
+        return asides.append_writer(unique, f"{path}/unique", f"{path}/checkpoint")
+
+    _as_it_comes(spark, folder, path, start)
     return spark.read.parquet(f"{path}/unique")
 
 
 @query
 def stream_progress(spark, folder):
-    _, finished = _run_windows(spark, _event_stream(spark, folder), stream_windows.updates_writer)
-    return progress_rows(spark, finished)
+    path = new_folder(spark, "stream-progress")
+    aggregates = stream_windows.window_aggregates(_event_stream(spark, folder), WINDOW_SEC, MAX_LAG_SEC)
+    writer = stream_windows.updates_writer(aggregates, f"{path}/windows", f"{path}/checkpoint")
+    return progress_rows(spark, stream_windows.run_available(writer))

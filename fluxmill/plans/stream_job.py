@@ -20,7 +20,7 @@ from fluxmill.schemas import CORRUPT_COLUMN, struct
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import versions as V
 from fluxmill.sources.tables import write_report
-from fluxmill.streaming import asides, rollup
+from fluxmill.streaming import asides, published, recent, rollup, sketches
 from fluxmill.streaming import windows as live
 from fluxmill.streaming.progress import progress_rows
 
@@ -32,8 +32,11 @@ QUARANTINE = struct(**{"receive_us": "long", CORRUPT_COLUMN: "string"})
 class StreamRun:
     """Settings of a run. Each query of it keeps its own checkpoint under `output`.
 
-    `consume` deletes event files once they are processed. It leaves the live windows out: they are a
-    second reader, which could miss files the first one has deleted.
+    `publish` writes each window as soon as it is final, with corrections by late events, while the
+    job runs. `exact` false keeps sketches of users and latencies instead of all of them. `recent_rows`
+    limits the latencies of the summary to the latest so many. `consume` deletes event files once they
+    are processed. `live_windows` adds a second query with Spark's own window state, which also shows
+    open windows; not with `consume` or `dedup_sec`.
     """
 
     source: str
@@ -43,19 +46,31 @@ class StreamRun:
     glob: str = EF.EVENT_GLOB
     files_per_trigger: int | None = None
     dedup_sec: int | None = None
-    live_windows: bool = True
+    live_windows: bool = False
     consume: bool = False
+    publish: bool = True
+    exact: bool = True
+    recent_rows: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.output}/{name}"
 
 
+def _tables(run: StreamRun):
+    return rollup if run.exact else sketches
+
+
 def _exact_writer(events: DataFrame, run: StreamRun) -> DataStreamWriter:
     """Everything without state in one query, so that each file is read and decoded once for it."""
     spark = events.sparkSession
-    rollup.start_rollup(spark, run.path("rollup"))
+    tables = _tables(run)
+    (rollup.start_rollup if run.exact else sketches.start_sketches)(spark, run.path("rollup"))
     V.start_versions(spark, asides.ASIDES, run.path("asides"))
     V.start_versions(spark, QUARANTINE, run.path("quarantine"))
+    if run.publish:
+        published.start_published(spark, run.path("published"))
+    if run.recent_rows:
+        recent.start_recent(spark, run.path("recent"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -63,15 +78,31 @@ def _exact_writer(events: DataFrame, run: StreamRun) -> DataStreamWriter:
             keep(batch, batch_id)
         finally:
             batch.unpersist()
+        merge(batch_id)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         good = EF.decoded_only(batch)
-        rows = W.prepared(good, run.window_sec, run.max_lag_sec).select(*rollup.EVENT_COLUMNS)
-        rollup.add_batch(rows, run.path("rollup"), batch_id, BACKLOG_BUCKET_SEC)
+        rows = rollup.batch_rows(good, run.window_sec, run.max_lag_sec)
+        tables.add_batch(rows, run.path("rollup"), batch_id, BACKLOG_BUCKET_SEC)
+        if run.recent_rows:
+            recent.add_batch(good, run.path("recent"), batch_id, run.recent_rows)
         kept = asides.set_aside(good, run.window_sec, run.max_lag_sec, run.max_lag_sec)
         V.write_version(kept, run.path("asides"), batch_id)
         corrupt = EF.quarantined(batch).select(*QUARANTINE.fieldNames())
         V.write_version(corrupt, run.path("quarantine"), batch_id)
+        if run.publish:
+            published.publish_batch(
+                rows, run.path("rollup"), run.path("published"), batch_id, run.window_sec, run.max_lag_sec, run.exact
+            )
+
+    def merge(before: int) -> None:
+        tables.compact(spark, run.path("rollup"), before)
+        V.compact(spark, asides.ASIDES, run.path("asides"), lambda rows: rows, before)
+        V.compact(spark, QUARANTINE, run.path("quarantine"), lambda rows: rows, before)
+        if run.publish:
+            published.compact(spark, run.path("published"), before)
+        if run.recent_rows:
+            recent.compact(spark, run.path("recent"), before, run.recent_rows)
 
     checkpoint = run.path("checkpoints/exact")
     return events.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
@@ -99,7 +130,7 @@ def _finished(spark: SparkSession, run: StreamRun, queries: dict[str, StreamingQ
         progress_rows(spark, query).withColumn("query", F.lit(name)) for name, query in queries.items()
     ]
     write_report(reduce(DataFrame.unionByName, progress), run.path("progress"))
-    rollup.read_windows(spark, run.path("rollup"), run.window_sec).write.mode("overwrite").json(
+    _tables(run).read_windows(spark, run.path("rollup"), run.window_sec).write.mode("overwrite").json(
         run.path("window_metrics")
     )
     write_report(summary(spark, run), run.path("summary"))
@@ -112,7 +143,11 @@ def summary(spark: SparkSession, run: StreamRun) -> DataFrame:
     Undecodable lines count as errors too.
     """
     corrupt = V.read_versions(spark, QUARANTINE, run.path("quarantine")).count()
-    row = rollup.read_summary(spark, run.path("rollup"), BACKLOG_BUCKET_SEC)
+    if run.recent_rows:
+        paths = run.path("rollup"), run.path("recent")
+        row = recent.read_summary(spark, *paths, run.recent_rows, BACKLOG_BUCKET_SEC, run.exact)
+    else:
+        row = _tables(run).read_summary(spark, run.path("rollup"), BACKLOG_BUCKET_SEC)
     runs = spark.read.schema("seconds double").parquet(run.path("runs"))
     seconds = as_scalar(runs.agg(F.sum("seconds").alias("seconds"))).getField("seconds")
     return row.withColumns(

@@ -21,6 +21,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/fluxmill/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names; nothing happens if it is gone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an aggregated table to the shared folder and read it back.
 

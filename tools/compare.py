@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -59,7 +60,7 @@ def main() -> None:
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = sys.argv[2:] or list(queries)
     spark = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(os.environ.get("COMPARE_MASTER", "local[8]"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
