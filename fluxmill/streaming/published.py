@@ -100,8 +100,8 @@ def publish_batch(
         taken = folded(only(log)).withColumn("change", -F.col("change"))
     names = LOG.fieldNames()
     V.write_version(added.select(*names).unionAll(taken.select(*names)), f"{path}/log", batch_id)
-    mark = spark.createDataFrame([(clock, final)], MARKS)
-    V.write_version(mark.coalesce(1), f"{path}/marks", batch_id)
+    mark = [F.lit(value).cast("bigint").alias(name) for name, value in (("clock_us", clock), ("final_s", final))]
+    V.write_version(spark.range(1, numPartitions=1).select(*mark), f"{path}/marks", batch_id)
 
 
 def compact(spark: SparkSession, path: str, before: int, fanout: int = V.FANOUT) -> bool:

@@ -100,8 +100,8 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def latency_at(percent: int, sketch: Column) -> Column:
-    """The latency at a percentile in microseconds; null of a null sketch."""
-    return F.kll_sketch_get_quantile_bigint(sketch, F.lit(percent / 100))
+    """The latency at a percentile in microseconds; null of a null or empty sketch."""
+    return F.when(F.kll_sketch_get_n_bigint(sketch) > 0, F.kll_sketch_get_quantile_bigint(sketch, F.lit(percent / 100)))
 
 
 def read_windows(

@@ -16,7 +16,8 @@ def summed(rows):
 
 
 def batch(spark, *rows):
-    return spark.createDataFrame(rows, ROWS).coalesce(1)
+    values = ", ".join(f"({k}L, {n}L)" for k, n in rows)
+    return spark.sql(f"select * from values {values} as t(k, n)").coalesce(1)
 
 
 def totals(spark, path):
@@ -28,6 +29,8 @@ def folders(path):
 
 
 def test_folders_stay_bounded_over_200_batches(spark):
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
     path = new_folder(spark, "test-merges")
     V.start_versions(spark, ROWS, path)
     most = 0
