@@ -62,10 +62,16 @@ def myers(masks: dict[str, int], length: int, text: str) -> tuple[int, int]:
 
 
 class Matcher:
-    """Finds items in texts within one edit for each chars_per_edit characters of the item."""
+    """Finds items in texts within one edit for each chars_per_edit characters of the item.
 
-    def __init__(self, items: list[tuple[int, str]], chars_per_edit: int) -> None:
-        self.items = [(item_id, text, len(text) // chars_per_edit) for item_id, text in items]
+    Items shorter than min_chars are found without edits and as whole words only.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str]], chars_per_edit: int, min_chars: int = MIN_CHARS) -> None:
+        self.items = [
+            (item_id, text, len(text) // chars_per_edit) if len(text) >= min_chars else (item_id, f" {text} ", 0)
+            for item_id, text in items
+        ]
         self.masks = functools.cache(lambda k: masks_of(self.items[k][1]))
         places: dict[str, list[tuple[int, int]]] = {}
         for k, (_, text, budget) in enumerate(self.items):
@@ -81,12 +87,15 @@ class Matcher:
         if not self.items:
             return []
         starts: dict[int, set[int]] = {}
-        for last, (length, found) in self.automaton.iter(text):
+        for last, (length, found) in self.automaton.iter(f" {text} "):
             for k, offset in found:
-                starts.setdefault(k, set()).add(last + 1 - length - offset)
+                starts.setdefault(k, set()).add(last - length - offset)
         out = []
         for k, where in starts.items():
             item_id, item, budget = self.items[k]
+            if item.startswith(" "):
+                out.append((item_id, 0, min(where) + len(item) - 1))
+                continue
             best = None
             done = -1
             for start in sorted(where):
@@ -111,11 +120,11 @@ class Matcher:
         return out
 
 
-def _item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def _item_blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
     """The distinct items in normal form, in blocks of about block_chars; each block is sent to all tasks."""
     items = stored(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-        .where("item_id is not null and text is not null")
+        .where("text is not null")
         .distinct(),
         "items",
     )
@@ -123,8 +132,8 @@ def _item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iter
     blocks = max(1, -(-total // block_chars))
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        found = sorted((r.item_id, normal(r.text)) for r in rows)
-        yield [x for x in found if len(x[1]) >= min_chars]
+        found = {(r.item_id, normal(r.text)) for r in rows}
+        yield sorted((x for x in found if x[1]), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def leaks(
@@ -139,20 +148,21 @@ def leaks(
     Texts and items are compared as lower-cased letters and digits with single spaces. An item is
     found where its edit distance to a stretch of the whole text is at most one for each
     chars_per_edit of its characters; distance is the least one and match_end where the first
-    such stretch ends in the normal text. Items with less than min_chars such characters, or a
-    null id or text, are not looked for; null and empty texts hold nothing. Equal items are one;
-    an item_id with several texts gives a row for each text found.
+    such stretch ends in the normal text. Items with less than min_chars such characters have to
+    occur as they are, as whole words; items without any such character, or with a null text, are
+    not looked for. An item with a null id is found like others. Null and empty texts hold nothing.
+    Equal items are one; an item_id with several texts gives a row for each text found.
 
     The documents are read once for each block of items, without a shuffle. A block is bounded
     by block_chars, so what is sent to the tasks is, whatever the size of the benchmark.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = []
-    for block in _item_blocks(benchmark, min_chars, block_chars):
+    for block in _item_blocks(benchmark, block_chars):
         items = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items.value, chars_per_edit)
+            matcher = Matcher(items.value, chars_per_edit, min_chars)
             for batch in slices(batches):
                 found = [matcher.search(normal(text.decode())) for text in text_column(batch)]
                 rows = [(d, *f) for d, each in zip(batch.column(0).to_pylist(), found) for f in each]
@@ -165,7 +175,7 @@ def leaks(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """Rows of docs that hold no benchmark item, all columns kept."""
-    for block in _item_blocks(benchmark, MIN_CHARS, BLOCK_CHARS):
+    for block in _item_blocks(benchmark, BLOCK_CHARS):
         items = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:

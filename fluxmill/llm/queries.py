@@ -71,7 +71,9 @@ def op3_benchmark_leaks(spark, folder):
 
 @query
 def op4_license_scan(spark, folder):
-    return licenses.license_scan(_table(spark, folder, "documents"), with_spans=False)
+    found = licenses.license_scan(_table(spark, folder, "documents"))
+    text = lambda x: F.concat_ws(":", x["label"], F.concat_ws("-", x["first"], x["last"]), x["errors"])
+    return found.withColumn("spans", F.array_join(F.transform("spans", text), ","))
 
 
 @query

@@ -24,6 +24,7 @@ RATE = 0.1
 PENALTY = 1e-4
 MINI_BATCH = 64
 THRESHOLD = 0.3
+UNFITTED_BIAS = -500.0  # a score of 0: nothing counts as toxic without a label that says so
 FOLDS, HELD_OUT = 4, 2
 SEED = 11
 
@@ -34,7 +35,6 @@ class Model:
 
     weights: np.ndarray
     bias: float
-    fitted: bool = True
 
 
 def features(text: bytes, mark: np.ndarray) -> np.ndarray:
@@ -62,7 +62,7 @@ def _featured(batch: pa.RecordBatch) -> pa.RecordBatch:
     mark = np.zeros(1 << BITS, np.int32)
     blobs = [features(text, mark).tobytes() for text in text_column(batch)]
     return pa.RecordBatch.from_arrays(
-        [batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], ["rank", "toxic", "found"]
+        [*batch.columns[:3], pa.array(blobs, pa.binary())], ["doc_id", "rank", "toxic", "found"]
     )
 
 
@@ -120,12 +120,12 @@ def with_fold(rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Model from labelled rows that are not held out: about sample_rows of them at most, drawn by a seeded hash.
 
-    A document with several labels counts as toxic if one of them says so; null labels and ids
-    are left out. Without any labelled text every score is 0.5, which says nothing, and
-    no text counts as toxic: the model is not fitted. The model has a fixed size.
+    A label over 0 says toxic, any other not. A document with several labels counts as toxic if one
+    of them says so; null labels and ids are left out, and of several texts of one id all but one.
+    Without any labelled text every score is 0, so no text counts as toxic. The model has a fixed size.
     """
     known = (
-        with_fold(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")))
+        with_fold(labels.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")))
         .where("not held_out and doc_id is not null and toxic is not null")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
@@ -137,11 +137,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     texts = docs.select(F.col("doc_id").alias("text_id"), "text")
     # The sample is bounded by its parameter, so it may be sent to all tasks; no text is shuffled.
     joined = texts.join(F.broadcast(drawn), F.col("text_id") == F.col("doc_id"))
-    ranked = joined.select(F.xxhash64("rank", "doc_id", "text").alias("rank"), "toxic", "text")
-    found = ranked.mapInArrow(per_batch(_featured), "rank long, toxic int, found binary")
-    models = found.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, "weights binary, bias double").collect()
+    ranked = joined.select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("rank", "doc_id", "text").alias("rank"), "toxic", "text"
+    )
+    found = ranked.mapInArrow(per_batch(_featured), "doc_id string, rank long, toxic int, found binary")
+    # A labelled id may have any number of copies in docs; one of them is fitted on.
+    each = found.groupBy("doc_id").agg(F.min(F.struct("rank", "toxic", "found")).alias("row")).select("row.*")
+    models = each.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit, "weights binary, bias double").collect()
     if not models:
-        return Model(np.zeros(1 << BITS), 0.0, fitted=False)
+        return Model(np.zeros(1 << BITS), UNFITTED_BIAS)
     return Model(np.frombuffer(models[0].weights, np.float32).astype(np.float64), models[0].bias)
 
 
@@ -172,7 +176,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 def _scored(rows: DataFrame, model: Model, threshold: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model.weights.astype(np.float32))  # 4 MB, whatever the input
     scored = rows.mapInArrow(_score(shared, model.bias), "doc_id long, held_out boolean, score double")
-    return scored.withColumn("predicted", ((F.col("score") >= threshold) & F.lit(model.fitted)).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -181,8 +185,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     Without any labelled text to fit on (no labels, null ones, or none outside the held-out fold) all rows stay.
     """
     model = fit(docs, labels)
-    if not model.fitted:
-        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model.weights.astype(np.float32))
     bias = model.bias
 
