@@ -89,7 +89,7 @@ def test_revisits(spark):
     fields = "record_id long, url string, captured long, kind string, etag string, last_modified string, digest string, headers map<string,string>, bucket int"
     full = {"content-type": "text/html", "date": "old", "vary": "x"}
     rows = [
-        (1, "http://www.Example.org:80/a/?q#f", 10, "response", '"1"', "m", "d1", full, 0),
+        (1, "http://www.Example.org:80/a/?utm_source=q#f", 10, "response", '"1"', "m", "d1", full, 0),
         (2, "https://example.org/a", 20, "response", '"2"', None, "d2", full, 0),
         (3, "example.org/a/", 20, "revisit", '"1"', None, None, {"date": "new", "server": "s"}, 0),
         (4, "example.org/a", 21, "revisit", 'W/"2"', None, None, {"date": "new", "content-type": "no"}, 0),

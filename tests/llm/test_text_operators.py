@@ -163,20 +163,20 @@ def test_notices_with_errors(wrong):
     scanner = licenses.Scanner(licenses.NOTICES, licenses.CHARS_PER_ERROR)
     phrase = "licensed under the gnu general public license version 3"
     text = phrase
-    for i in range(wrong):
-        at = 9 + 11 * i
+    for at in (9, 33, 42)[:wrong]:  # not in the words that tell licences apart
         text = text[:at] + "q" + text[at + 1 :]
     _, notices = scanner.scan(f" before {text} after ")
     assert [(x[2], x[3]) for x in notices] == [("gpl-3", wrong)]
 
 
-def _distance(item, text):
+def _distances(item, text):
+    """Least edit distance of the item to a stretch of text that ends at each place."""
     row = [0] * (len(text) + 1)
     for i, a in enumerate(item, 1):
         last, row[0] = row[0], i
         for j, b in enumerate(text, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
-    return min(row)
+    return row
 
 
 def test_benchmark_leaks(spark, docs):
@@ -188,22 +188,38 @@ def test_benchmark_leaks(spark, docs):
     both = docs.select("doc_id", "text").unionAll(spark.createDataFrame(texts, "doc_id long, text string"))
     expected = []
     for doc_id, text in [(r[0], r[1]) for r in ROWS if r[0] != 10] + texts:
-        for item_id, t in {(1, item), (2, words(90_010, 12))}:
+        for item_id, t in {(1, item), (None, item), (2, words(90_010, 12))}:
             goal = decontaminate.normal(t)
-            d = _distance(goal, decontaminate.normal(text or ""))
+            distances = _distances(goal, decontaminate.normal(text or ""))
+            d = min(distances)
             if d <= len(goal) // decontaminate.CHARS_PER_EDIT:
-                expected.append((doc_id, item_id, d))
+                expected.append((doc_id, item_id, d, distances.index(d)))
     for block_chars in (4_000_000, 50):
-        found = decontaminate.leaks(both, benchmark, block_chars=block_chars).drop("match_end")
+        found = decontaminate.leaks(both, benchmark, block_chars=block_chars)
         assert rows_of(found) == sorted(expected, key=repr)
     assert len(expected) >= 5
     kept = decontaminate.without_leaks(docs, benchmark)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in ROWS} - {4, 5}
 
 
+def test_short_items_and_items_without_id(spark):
+    texts = ["what is the capital of france", "somewhat is the capital of francestan", "What  is the CAPITAL of France?", "",
+             None, "so: what is the capital of france", "日本 の 首都", "日本の首都", "a long enough sentence to be matched with an error or to"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(1, "What is the capital of France"), (None, "日本 の 首都!"), (None, "A long enough sentence to be matchd with an error or to"),
+             (3, "?!"), (3, None), (1, "what is the capital of france")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.leaks(docs, benchmark)
+    end = len("what is the capital of france")
+    assert rows_of(found) == sorted(
+        [(0, 1, 0, end), (2, 1, 0, end), (5, 1, 0, 3 + end), (6, None, 0, 7), (8, None, 1, len(texts[8]))], key=repr
+    )
+    assert {r.doc_id for r in decontaminate.without_leaks(docs, benchmark).collect()} == {1, 3, 4, 7}
+
+
 def test_myers_equals_the_table():
     for a, b in [("kitten", "a sitting cat"), ("abc", ""), ("aaaa", "aabaa"), ("flaw", "lawn"), ("x" * 70, "x" * 30)]:
-        assert decontaminate.myers(decontaminate.masks_of(a), len(a), b)[0] == _distance(a, b)
+        assert decontaminate.myers(decontaminate.masks_of(a), len(a), b)[0] == min(_distances(a, b))
 
 
 def test_mix(docs):
@@ -257,7 +273,7 @@ def test_toxicity(spark, docs):
     assert len(rest) == len(ROWS) and all(0 <= r.score <= 1 for r in rest)
     kept = toxicity.without_toxic(docs, labels)
     assert kept.columns == docs.columns
-    assert all(r.score == 0.5 for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect())
+    assert all(r.score < 1e-9 and r.predicted == 0 for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect())
 
 
 def test_empty_tables(spark, no_docs):
