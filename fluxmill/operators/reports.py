@@ -116,18 +116,34 @@ def stream_summary(events: DataFrame, bucket_sec: int) -> DataFrame:
     return summary_of(arrivals(events), backlog_depth(events, bucket_sec))
 
 
+def _message_size(events: DataFrame) -> Column:
+    """Length of the message an event came as: the column `size`, else that of its text `payload`, else 0."""
+    if "size" in events.columns:
+        return F.col("size")
+    return F.length("payload") if "payload" in events.columns else F.lit(0)
+
+
 def load_levels(events: DataFrame, bucket_sec: int, level: str = "load_level") -> DataFrame:
-    """Producer and consumer figures for each target rate. Few keys hold all rows, so every
-    aggregate combines on the map side."""
+    """Producer and consumer figures for each target rate, of parsed events.
+
+    Events without a usable stamp, undecodable ones among them, are sent, and errors, but not
+    processed. Few keys hold all rows, so every aggregate combines on the map side.
+    """
     rows = events.withColumns(
-        {"target_rate": F.col(level), "stamp_ok": _stamp_ok(events), "latency_us": latency_us()}
+        {
+            "target_rate": F.col(level),
+            "stamp_ok": _stamp_ok(events),
+            "latency_us": latency_us(),
+            "size": _message_size(events),
+        }
     )
+    stamped = F.when(F.col("stamp_ok"), F.col("event_us"))
     keys = ["target_rate"]
     totals = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sent"),
         F.count_if(~F.col("stamp_ok")).alias("errors"),
-        F.sum(F.length("payload")).alias("bytes"),
-        _seconds(F.min("event_us"), F.max("event_us")).alias("sent_seconds"),
+        F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("bytes"),
+        _seconds(F.min(stamped), F.max(stamped)).alias("sent_seconds"),
         F.count_if("stamp_ok").alias("processed"),
         _seconds(F.min("receive_us"), F.max("receive_us")).alias("seconds"),
     )
@@ -145,7 +161,7 @@ def load_levels(events: DataFrame, bucket_sec: int, level: str = "load_level") -
             _per_second(F.col("sent"), F.col("sent_seconds")).alias("avg_rate"),
             "processed",
             _per_second(F.col("processed"), F.col("seconds")).alias("throughput"),
-            *PERCENTILE_COLUMNS,
+            *[F.coalesce(name, F.lit(0.0)).alias(name) for name in PERCENTILE_COLUMNS],
             "queue_depth_max",
         )
     )

@@ -424,6 +424,23 @@ deepest as (select target_rate, max(depth) as queue_depth_max from depth group b
 select target_rate, sent, errors, bytes, elapsed, avg_rate, processed, throughput,
   {ms('p50')} as latency_p50_ms, {ms('p95')} as latency_p95_ms, {ms('p99')} as latency_p99_ms, queue_depth_max
 from sums join ranked using (target_rate) join deepest using (target_rate)""",
+    "load_directories": f"""
+with {EVENTS}, {RAW_EVENTS}, messages as (
+  select event_id % 3 as level, event_us, event_id % 101 = 13 as torn, stamp_ok and event_id % 101 <> 13 as good,
+    '{{"event_id": "' || event_id || '", "user_id": ' || coalesce(cast(user_id as varchar), 'null') || ', "timestamp": '
+      || case when event_id % 89 = 7 then '"not a time"' when event_id % 83 = 5 then 'null'
+         else '"' || strftime(make_timestamp(event_us), '%Y-%m-%dT%H:%M:%S.%f')
+              || case when event_id % 2 = 0 then 'Z' else '+00:00' end || '"' end
+      || ', "clicks": ' || case when event_id % 47 <> 9 then cast(clicks as varchar) else 'null' end || '}}' as body
+  from raw)
+select case level when 0 then 100 when 1 then 1000 else 5000 end as target_rate, count(*) as sent,
+  cast(count_if(not good) as bigint) as errors,
+  cast(sum(length(message)) as bigint) as bytes,
+  {rounded('(max(event_us) filter (good) - min(event_us) filter (good)) / 1e6', 2)} as elapsed,
+  {rate('count(*)', 'min(event_us) filter (good)', 'max(event_us) filter (good)')} as avg_rate,
+  cast(count_if(good) as bigint) as processed, cast(0 as bigint) as lines_left
+from (select *, case when torn then body[1:20] else body end as message from messages)
+group by level""",
     "backlog_depth": f"""
 with {EVENTS}, {depths('mapped')} select bucket_start_s, depth, held_buckets from depth""",
 }

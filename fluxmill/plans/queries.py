@@ -16,6 +16,7 @@ from fluxmill.operators import windows as W
 from fluxmill.operators.profiles import fit_profile, with_region_averages
 from fluxmill.plans.feature_job import run_feature_job
 from fluxmill.plans.feature_table import feature_table as all_features
+from fluxmill.plans.stream_job import run_load_test
 from fluxmill.sources import adapters as A
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import tables
@@ -315,6 +316,22 @@ def json_report(spark, folder):
     return spark.read.schema(report.schema).json(path)
 
 
+@query
+def load_directories(spark, folder):
+    """Messages in a directory for each load level, landed as one stream, consumed, and reported."""
+    path = new_folder(spark, "load")
+    lines = A.load_lines_from_log(tables.read_event_log(spark, folder))
+    for rate in C.LOAD_RATES:
+        lines.where(F.col("load_level") == rate).select("value").write.text(f"{path}/queue/load_{rate}")
+    report = run_load_test(spark, f"{path}/queue", f"{path}/out", glob="part-*", consume=True)
+    # How long the files took to come says nothing about the events; see the tests for latencies.
+    left = EF.read_load_lines(spark, f"{path}/queue", "part-*").agg(F.count(F.lit(1)).alias("lines_left"))
+    return report.select(
+        "target_rate", "sent", "errors", "bytes", "elapsed", "avg_rate", "processed",
+        imputation.as_scalar(left).getField("lines_left").alias("lines_left"),
+    )
+
+
 @query
 def backlog_depth(spark, folder):
     return backlog.backlog_depth(_events(spark, folder), BUCKET_SEC)

@@ -13,18 +13,20 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fluxmill import constants as C
 from fluxmill.functions.numbers import round_to
-from fluxmill.operators import windows as W
+from fluxmill.operators import reports
 from fluxmill.operators.dedup import stream_dedup
 from fluxmill.operators.imputation import as_scalar
-from fluxmill.schemas import CORRUPT_COLUMN, struct
+from fluxmill.schemas import CORRUPT_COLUMN, LOAD_LEVELS, struct
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import versions as V
 from fluxmill.sources.tables import write_report
 from fluxmill.streaming import asides, published, recent, rollup, sketches
 from fluxmill.streaming import windows as live
 from fluxmill.streaming.progress import progress_rows
+from fluxmill.workspace import remove
 
 BACKLOG_BUCKET_SEC = 1
+CONSUMED_FILES = 10_000
 QUARANTINE = struct(**{"receive_us": "long", CORRUPT_COLUMN: "string"})
 
 
@@ -206,27 +208,51 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def land_load_lines(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    glob: str = EF.EVENT_GLOB,
+    files_per_trigger: int | None = None,
+    consume: bool = False,
+) -> DataFrame:
+    """The lines of all load directories that have not been read before, added to a table; the whole table.
+
+    One stream reads all directories, so small files of any number become few large ones, once each.
+    `consume` deletes files once they are in the table. Spark deletes those of a batch when the next
+    one begins; what the last batch has read, CONSUMED_FILES at most by default, is deleted here.
+    """
+    files_per_trigger = files_per_trigger or (CONSUMED_FILES if consume else None)
+    path = f"{output}/lines"
+    V.start_versions(spark, EF.LOAD_LINES, path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        V.write_version(batch, path, batch_id)
+        V.compact(spark, EF.LOAD_LINES, path, lambda lines: lines, batch_id)
+
+    lines = EF.stream_load_lines(spark, source, glob, files_per_trigger, consume)
+    writer = lines.writeStream.option("checkpointLocation", f"{output}/checkpoints/lines").foreachBatch(write)
+    live.run_available(writer)
+    landed = V.read_versions(spark, EF.LOAD_LINES, path)
+    if consume:
+        last = landed.agg(F.max(V.BATCH)).first()[0]
+        for row in landed.where(F.col(V.BATCH) == last).select("file").distinct().toLocalIterator():
+            remove(spark, row.file)
+    return landed.drop(V.BATCH)
+
+
 def run_load_test(
     spark: SparkSession, source: str, output: str, rates: list[int] | None = None, **settings
 ) -> DataFrame:
-    """One run per load_<rate> directory, then one report row per rate; absent directories are passed over."""
-    rows = []
-    for rate in rates or C.LOAD_RATES:
-        if not _exists(spark, f"{source}/load_{rate}"):
-            continue
-        run = StreamRun(f"{source}/load_{rate}", f"{output}/load_{rate}", live_windows=False, **settings)
-        run_available(spark, run)
-        rows.append(
-            summary(spark, run).select(
-                F.lit(rate).alias("target_rate"),
-                F.col("total_processed").alias("processed"),
-                F.col("throughput_per_s").alias("throughput"),
-                *[f"latency_p{p}_ms" for p in C.PERCENTS],
-                "queue_depth_max",
-            )
-        )
-    if not rows:
+    """One report row per load_<rate> directory, read as one source; of `rates` only if given.
+
+    A file's time is the time its events were received. `settings` are those of land_load_lines.
+    """
+    if not _exists(spark, f"{source}/{EF.LOAD_DIRECTORIES}"):
         raise ValueError(f"no load_<rate> directory in {source}")
-    report = reduce(DataFrame.unionByName, rows)
+    lines = land_load_lines(spark, source, output, **settings)
+    if rates:
+        lines = lines.where(F.col("target_rate").isin(rates))
+    report = reports.load_levels(EF.load_events(lines), BACKLOG_BUCKET_SEC)
     write_report(report, f"{output}/load_levels")
-    return report
+    return spark.read.schema(LOAD_LEVELS).json(f"{output}/load_levels")

@@ -144,6 +144,23 @@ def event_lines_from_log(log: DataFrame) -> DataFrame:
     )
 
 
+def load_lines_from_log(log: DataFrame) -> DataFrame:
+    """The message text of each event at its load level, some with a bad or missing stamp, a few torn."""
+    raw = raw_events_from_log(log).withColumn("number", F.col("event_id").cast("bigint"))
+    fields = [
+        F.concat(F.lit('"event_id": "'), F.col("event_id"), F.lit('"')),
+        F.concat(F.lit('"user_id": '), F.coalesce(F.col("user_id").cast("string"), F.lit("null"))),
+        F.concat(F.lit('"timestamp": '), F.coalesce(F.concat(F.lit('"'), F.col("timestamp"), F.lit('"')), F.lit("null"))),
+        F.concat(F.lit('"clicks": '), F.coalesce(F.col("clicks").cast("string"), F.lit("null"))),
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+    number = F.col("number")
+    level = F.when(number % 3 == 0, 100).when(number % 3 == 1, 1000).otherwise(5000)
+    return raw.select(
+        level.alias("load_level"), F.when(number % 101 == 13, F.substring(body, 1, 20)).otherwise(body).alias("value")
+    )
+
+
 def with_replays(events: DataFrame, delay_us: int) -> DataFrame:
     """Every seventh event twice, the second copy received later, as after a consumer restart."""
     copies = F.when(F.col("event_id") % 7 == 3, F.array(F.lit(0), F.lit(delay_us))).otherwise(F.array(F.lit(0)))

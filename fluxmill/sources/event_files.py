@@ -70,6 +70,44 @@ def stream_events(
     return decode_lines(reader.text(path))
 
 
+# One directory for each rate a load test was run at, and the rate in its name.
+LOAD_DIRECTORIES = "load_*"
+LOAD_RATE = r"/load_(\d+)/[^/]*$"
+LOAD_LINES = struct(target_rate="integer", value="string", receive_us="long", file="string")
+
+
+def load_lines(lines: DataFrame) -> DataFrame:
+    """Lines read from load directories with the rate and time of their file; directories of other names are left out."""
+    path = F.col("_metadata.file_path")
+    return lines.select(
+        F.regexp_extract(path, LOAD_RATE, 1).try_cast("int").alias("target_rate"),
+        "value",
+        F.unix_micros("_metadata.file_modification_time").alias("receive_us"),
+        path.alias("file"),
+    ).where("target_rate is not null")
+
+
+def read_load_lines(spark: SparkSession, path: str, glob: str = EVENT_GLOB) -> DataFrame:
+    """All load directories under path as one table."""
+    return load_lines(spark.read.option("pathGlobFilter", glob).text(f"{path}/{LOAD_DIRECTORIES}"))
+
+
+def stream_load_lines(
+    spark: SparkSession, path: str, glob: str = EVENT_GLOB, files_per_trigger: int | None = None, consume: bool = False
+) -> DataFrame:
+    """The same as one stream, directories that appear later included."""
+    reader = spark.readStream.option("pathGlobFilter", glob).option("cleanSource", "delete" if consume else "off")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return load_lines(reader.text(f"{path}/{LOAD_DIRECTORIES}"))
+
+
+def load_events(lines: DataFrame) -> DataFrame:
+    """Lines of load directories as parsed events with the size of each message; undecodable lines have no usable stamp."""
+    sized = lines.withColumn("size", F.length("value"))
+    return parse_events(decode_lines(sized)).withColumnRenamed("target_rate", "load_level").drop(CORRUPT_COLUMN)
+
+
 def is_corrupt() -> Column:
     return F.col(CORRUPT_COLUMN).isNotNull()
 
