@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluxmill.functions.numbers import not_nan
@@ -20,8 +20,13 @@ def fit_profile(users: DataFrame, columns: Sequence[str] = PROFILED) -> DataFram
     large or skewed a region is. Region averages need session_time and clicks; the global
     statistics need all columns.
     """
+    return stored(users.groupBy("region").agg(*partials(columns)), "region-profile")
+
+
+def partials(columns: Sequence[str] = PROFILED) -> list[Column]:
+    """The aggregates a profile holds: row count, sums, counts and extremes of the columns."""
     income, cart = not_nan(F.col("income")), not_nan(F.col("cart_value"))
-    partials = {
+    known = {
         "session_time": [
             F.sum("session_time").alias("session_sum"),
             F.count("session_time").alias("session_n"),
@@ -33,8 +38,14 @@ def fit_profile(users: DataFrame, columns: Sequence[str] = PROFILED) -> DataFram
         "cart_value": [F.sum(cart).alias("cart_sum"), F.count(cart).alias("cart_n")],
         "page_views": [F.min("page_views").alias("views_min"), F.max("page_views").alias("views_max")],
     }
-    asked = [partial for column in columns for partial in partials[column]]
-    return stored(users.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), *asked), "region-profile")
+    return [F.count(F.lit(1)).alias("rows"), *[partial for column in columns for partial in known[column]]]
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """Profiles of parts of a table, as rows, to the profile of all of them."""
+    by_suffix = {"min": F.min, "max": F.max}
+    names = [c for c in parts.columns if c != "region"]
+    return parts.groupBy("region").agg(*[by_suffix.get(c.rsplit("_")[-1], F.sum)(c).alias(c) for c in names])
 
 
 def profile_stats(profile: DataFrame) -> DataFrame:

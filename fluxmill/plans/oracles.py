@@ -103,6 +103,8 @@ select {RAW_ROUNDED},
   {rounded('income * page_views')} as income_x_pageviews
 from filled, stats"""
 
+LEFT_USERS = USERS.replace("users as (", "all_users as (") + """, users as (select * from all_users where user_id % 4 <> 1)"""
+
 USER_ORACLES = {
     "scan_users": f"with {USERS} select {RAW_ROUNDED} from users",
     "cast_schema": f"""
@@ -149,6 +151,14 @@ with {USERS}, {STATS}, {FILLED}
 select user_id, {rounded('income * page_views')} as income_x_pageviews from filled""",
     "feature_table": FEATURES,
     "feature_files": FEATURES,
+    "stream_features": FEATURES,
+    "incremental_profile": f"""
+with {LEFT_USERS}, {STATS}
+select region, {rounded('avg(session_time)')} as region_avg_session, {rounded('avg(clicks)')} as region_avg_clicks,
+  {rounded('any_value(income_mean)')} as income_mean, {rounded('any_value(cart_mean)')} as cart_mean,
+  {rounded('any_value(session_min)')} as session_min, {rounded('any_value(session_max)')} as session_max,
+  any_value(views_min) as views_min, any_value(views_max) as views_max
+from users, stats group by region""",
     "row_counts": f"with {USERS} select count(*) as input_rows, count(*) as output_rows from users",
 }
 

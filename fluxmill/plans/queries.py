@@ -11,9 +11,9 @@ from fluxmill import constants as C
 from fluxmill.functions import features as X
 from fluxmill.functions.events import latency_us
 from fluxmill.functions.numbers import round_to
-from fluxmill.operators import backlog, dedup, imputation, reports
+from fluxmill.operators import backlog, dedup, imputation, ledger, reports
 from fluxmill.operators import windows as W
-from fluxmill.operators.profiles import fit_profile, with_region_averages
+from fluxmill.operators.profiles import fit_profile, profile_stats, region_averages, with_region_averages
 from fluxmill.plans.feature_job import run_feature_job
 from fluxmill.plans.feature_table import feature_table as all_features
 from fluxmill.plans.stream_job import run_load_test
@@ -21,9 +21,10 @@ from fluxmill.sources import adapters as A
 from fluxmill.sources import event_files as EF
 from fluxmill.sources import tables
 from fluxmill.streaming import asides, published, recent, rollup, sketches
+from fluxmill.streaming import features as stream_features_
 from fluxmill.streaming import windows as stream_windows
 from fluxmill.streaming.progress import progress_rows
-from fluxmill.workspace import new_folder, stored
+from fluxmill.workspace import new_folder, remove, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +164,45 @@ def feature_partitions(spark, folder):
     return rounded(all_features(_users(spark, folder), partitions=4))
 
 
+@query
+def incremental_profile(spark, folder):
+    """Files come in two rounds and one set goes; each file is read once."""
+    path = new_folder(spark, "ledger")
+    users = _users(spark, folder)
+    ledger.start_ledger(spark, f"{path}/ledger")
+    for round_ in ((0, 1), (2, 3)):
+        for part in round_:
+            users.where(F.col("user_id") % 4 == part).write.parquet(f"{path}/users/part={part}")
+        ledger.update_ledger(spark, f"{path}/users", f"{path}/ledger")
+    remove(spark, f"{path}/users/part=1")
+    profile = ledger.ledger_profile(spark, f"{path}/users", f"{path}/ledger")
+    stats = imputation.as_scalar(profile_stats(profile))
+    averages = region_averages(profile)
+    return rounded(
+        averages.select(
+            F.col("profile_region").alias("region"),
+            "region_avg_session",
+            "region_avg_clicks",
+            *[stats.getField(f.name).alias(f.name) for f in profile_stats(profile).schema],
+        )
+    )
+
+
+@query
+def stream_features(spark, folder):
+    """Users arrive in parts and are joined with a profile fitted before."""
+    path = new_folder(spark, "stream-features")
+    users = _users(spark, folder)
+    stream_features_.save_profile(fit_profile(imputation.cast_users(users)), f"{path}/profile")
+    for part in range(3):
+        users.where(F.col("user_id") % 3 == part).write.mode("append").parquet(f"{path}/users")
+        arriving = spark.readStream.schema(users.schema).parquet(f"{path}/users")
+        stream_windows.run_available(
+            stream_features_.features_writer(arriving, f"{path}/profile", f"{path}/features", f"{path}/checkpoint")
+        )
+    return rounded(stream_features_.read_features(spark, f"{path}/features").drop("profile_version"))
+
+
 def _feature_run(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
     output = new_folder(spark, "feature-job")
     return run_feature_job(_users(spark, folder), output), output
