@@ -46,3 +46,17 @@ ROWS = [
     document(13, "a  b"),
     document(14, "Released under the MIT License. Licenced under the Apache Licence, Version 2.0 <|endoftext|>"),
 ]
+
+
+def water_filling(sizes, weights, most=3):
+    """Targets in proportion to the weights that sum to all sizes; one stops at `most` times its size, the excess is reshared."""
+    stopped = set()
+    while True:
+        free = [i for i, size in enumerate(sizes) if size and i not in stopped]
+        if not free:
+            return [float(most * size) for size in sizes]
+        level = (sum(sizes) - sum(most * sizes[i] for i in stopped)) / sum(weights[i] for i in free)
+        above = {i for i in free if level * weights[i] > most * sizes[i]}
+        if not above:
+            return [float(most * size) if i in stopped else level * weights[i] * bool(size) for i, size in enumerate(sizes)]
+        stopped |= above

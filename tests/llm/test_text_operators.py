@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 import xxhash
-from conftest_rows import PASSAGE, ROWS, words
+from conftest_rows import PASSAGE, ROWS, water_filling, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -230,7 +230,7 @@ def test_mix(docs):
     for r in ROWS:
         size[r[3]] += len(split(r[1]))
     names = sorted(size, key=lambda s: (s is None, s or ""))
-    targets = dict(zip(names, mixing.water_filling([size[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))])))
+    targets = dict(zip(names, water_filling([size[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))])))
     assert abs(sum(targets.values()) - sum(size.values())) < 1e-6
     assert all(targets[s] <= 3 * size[s] + 1e-9 for s in names)
     for s in names:
