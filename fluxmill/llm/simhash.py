@@ -99,13 +99,13 @@ def _split_cells(rows: DataFrame, cell_rows: int) -> DataFrame:
     """Rows (cell, a, b, comer, own, fp): cells above cell_rows are dealt out as pairs of blocks.
 
     In part (a, b) every comer meets every row that is none; rows that are none meet each other
-    where own is true.
+    where own is true. Comers of a cell where nobody lives meet no one; where they are many they go.
     """
     sizes = rows.groupBy("cell").agg(
         F.count(F.when(~F.col("probe"), 1)).alias("homes"), F.count(F.when(F.col("probe"), 1)).alias("probes")
     )
     large = stored(
-        sizes.where((F.col("homes") > cell_rows) | ((F.col("probes") > cell_rows) & (F.col("homes") > 0))).select(
+        sizes.where((F.col("homes") > cell_rows) | (F.col("probes") > cell_rows)).select(
             "cell",
             F.ceil(F.col("homes") / cell_rows).cast("int").alias("nh"),
             F.ceil(F.col("probes") / cell_rows).cast("int").alias("np"),
@@ -116,7 +116,7 @@ def _split_cells(rows: DataFrame, cell_rows: int) -> DataFrame:
     plain = rows.join(large, "cell", "left_anti").select(
         "cell", zero.alias("a"), zero.alias("b"), F.col("probe").alias("comer"), (~F.col("probe")).alias("own"), "fp"
     )
-    dealt = rows.join(large, "cell").select(
+    dealt = rows.join(large.where("nh > 0"), "cell").select(
         "*", F.pmod(F.xxhash64("fp"), F.when(F.col("probe"), F.col("np")).otherwise(F.col("nh"))).cast("int").alias("at")
     )
     place = "struct<a:int,b:int,comer:boolean,own:boolean>"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluxmill.llm.common import components, per_batch, spanning
@@ -124,7 +124,9 @@ def range_join(classes: DataFrame, cosine: float, pivots: int, cell_rows: int) -
     radius = float(np.sqrt(2.0 - 2.0 * cosine))
     rows = sized.select("label", "dim", "node", "size", "embedding").mapInArrow(
         _cells(chosen, radius),
-        f"label int, dim int, cell int, home boolean, node long, size long, embedding {dict(sized.dtypes)['embedding']}",
+        "label {label}, dim int, cell int, home boolean, node long, size long, embedding {embedding}".format(
+            **dict(sized.dtypes)
+        ),
     )
     rows = stored(rows, "cells")
     key = ["label", "dim", "cell"]
@@ -148,12 +150,13 @@ def range_join(classes: DataFrame, cosine: float, pivots: int, cell_rows: int) -
 
 
 def _choose(sized: DataFrame, pivots: int) -> dict[int, np.ndarray]:
-    ranked = sized.select("dim", "embedding", F.xxhash64("embedding").alias("rank"))
-    chosen: dict[int, np.ndarray] = {}
-    for row in sized.select("dim").distinct().collect():
-        marks = ranked.where(F.col("dim") == row.dim).orderBy("rank").select("embedding").limit(pivots).collect()
-        chosen[row.dim] = _unit(np.array([m.embedding for m in marks], np.float64))
-    return chosen
+    """The pivots of each length of vector, from one job: a task keeps `pivots` rows of a length at most."""
+    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("embedding"), "node"))
+    rows = sized.select("dim", "embedding", place.alias("place")).where(F.col("place") <= pivots).collect()
+    found: dict[int, list] = {}
+    for row in sorted(rows, key=lambda r: (r.dim, r.place)):
+        found.setdefault(row.dim, []).append(row.embedding)
+    return {dim: _unit(np.array(marks, np.float64)) for dim, marks in found.items()}
 
 
 def vector_groups(
@@ -161,8 +164,8 @@ def vector_groups(
 ) -> DataFrame:
     """One row per row of vectors (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
-    Vectors are linked when their labels are equal and their cosine, in double precision, is at
-    least `cosine`. Null labels, and vectors that are null, empty, zero or hold a null or
+    Vectors are linked when their labels, of whatever type, are equal and their cosine, in double
+    precision, is at least `cosine`. Null labels, and vectors that are null, empty, zero or hold a null or
     non-finite component, link with nothing: 0 links, a component of their own. Vectors of
     unequal length link with nothing of another length. A null vec_id counts for no minimum. Rows
     that repeat an id are vectors of their own.
@@ -175,7 +178,7 @@ def vector_groups(
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         "embedding",
-        F.col("label").cast("int").alias("label"),
+        "label",
     )
     classes = (
         usable(rows)
