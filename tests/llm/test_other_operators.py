@@ -47,6 +47,10 @@ def test_vectors(spark):
     for pivots, cell_rows in [(16, 1024), (3, 7), (1, 1024)]:
         got = sorted(map(tuple, vectors.vector_groups(table, pivots=pivots, cell_rows=cell_rows).collect()), key=repr)
         assert got == brute_groups(rows)
+    for kind in ("long", "string", "double"):
+        label = F.col("label").cast("long") * 3_000_000_000 if kind != "string" else F.concat(F.lit("x"), "label")
+        typed = table.withColumn("label", label.cast(kind))
+        assert sorted(map(tuple, vectors.vector_groups(typed).collect()), key=repr) == brute_groups(rows)
     extra = table.select("*", F.lit(1).alias("node"), F.lit("x").alias("cell"), F.lit(0).alias("n_links"))
     assert vectors.vector_groups(extra).count() == len(rows)
     assert vectors.vector_groups(table.limit(0)).count() == 0

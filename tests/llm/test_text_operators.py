@@ -111,6 +111,13 @@ def test_near_fingerprints_join_what_is_near(spark, distance, cell_rows):
     assert all((find(a) == find(b)) == (root(a) == root(b)) for a in ordered[:60] for b in ordered)
 
 
+def test_comers_of_cells_where_nobody_lives(spark):
+    rows = [(1, 10 + i, True) for i in range(9)] + [(2, 50, False)] + [(2, 60 + i, True) for i in range(9)] + [(3, 90, True)]
+    parts = simhash._split_cells(spark.createDataFrame(rows, "cell long, fp long, probe boolean"), 4).collect()
+    assert not [r for r in parts if r.cell == 1]
+    assert {r.fp for r in parts if r.cell == 2} == {50, *range(60, 69)}
+
+
 @pytest.mark.parametrize("block", [3, 1_000_000])
 def test_components_of_paths_stars_and_cliques(spark, monkeypatch, block):
     monkeypatch.setattr("fluxmill.llm.common.LINK_BLOCK", block)
