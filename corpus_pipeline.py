@@ -9,7 +9,7 @@ from fluxmill.llm.mixing import taken_documents
 from fluxmill.llm.simhash import keep_one
 from fluxmill.llm.substrings import cut_repeats
 from fluxmill.llm.toxicity import without_toxic
-from fluxmill.workspace import new_folder
+from fluxmill.workspace import new_folder, remove, scratch
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each returns is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; what each returns is written to the shared folder and read again.
+
+    A stage's scratch tables go when its result is written, the result when the next one's is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = new_folder(spark, "stage-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark, "scratch-" + name.replace(" ", "-")):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

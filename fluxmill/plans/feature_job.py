@@ -12,6 +12,7 @@ from fluxmill.operators.profiles import fit_profile
 from fluxmill.operators.reports import run_metrics
 from fluxmill.plans.feature_table import transform
 from fluxmill.sources.tables import write_features, write_report
+from fluxmill.workspace import scratch
 
 
 def run_feature_job(
@@ -20,14 +21,16 @@ def run_feature_job(
     """Write `output`/features and `output`/metrics, and return the run report.
 
     Input rows come from the profile, output rows from the footers of the written files: neither
-    count runs the features again or can count a retried task twice.
+    count runs the features again or can count a retried task twice. The profile is scratch, which
+    is removed once the features are written.
     """
     spark = users.sparkSession
     started = time.time()
-    profile = fit_profile(cast_users(users))
-    write_features(transform(users, profile, partitions), f"{output}/features")
-    seconds = time.time() - started
-    input_rows = profile.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    with scratch(spark, "feature-job"):
+        profile = fit_profile(cast_users(users))
+        write_features(transform(users, profile, partitions), f"{output}/features")
+        seconds = time.time() - started
+        input_rows = profile.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     output_rows = spark.read.parquet(f"{output}/features").count()
     report = run_metrics(
         spark, mode, partitions or spark.sparkContext.defaultParallelism, input_rows, output_rows, seconds

@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under spark.checkpoint.dir, the folder every executor can reach.
 
-    Only a local master may run without that setting, and then gets a temporary folder.
+    Only a local master may run without that setting, and then gets a temporary folder. Within a
+    scratch() block the path lies in its folder.
     """
+    if run := _RUN.get():
+        return f"{run}/{label}-{uuid.uuid4().hex}"
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
@@ -21,6 +29,21 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/fluxmill/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """What is stored within the block goes when it ends, so results have to be written by then, elsewhere.
+
+    Results read lazily need their stored tables: leave the block only after the last action on them.
+    """
+    folder = new_folder(spark, label)
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        remove(spark, folder)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store its path names; nothing happens if it is gone."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

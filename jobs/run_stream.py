@@ -28,23 +28,29 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--glob", default=EVENT_GLOB, help="names of event files")
     parser.add_argument("--files-per-trigger", type=int, default=None, help="bound on files per micro-batch")
     parser.add_argument("--dedup", type=int, default=None, help="drop replays seen within this many seconds")
-    parser.add_argument("--consume", action="store_true", help="delete event files once processed; no live windows")
+    parser.add_argument("--consume", action="store_true", help="delete event files once processed")
+    parser.add_argument("--live", action="store_true", help="also keep open windows; not with --dedup or --consume")
+    parser.add_argument("--sketches", action="store_true", help="sketches of users and latencies instead of all of them")
+    parser.add_argument("--recent", type=int, default=None, help="latest latencies that count in the summary (default: all)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("event-windows").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    settings = {
-        "window_sec": args.window,
-        "max_lag_sec": args.max_lag,
-        "glob": args.glob,
-        "files_per_trigger": args.files_per_trigger,
-        "dedup_sec": args.dedup,
-        "consume": args.consume,
-    }
+    reading = {"glob": args.glob, "files_per_trigger": args.files_per_trigger, "consume": args.consume}
     if args.load_test:
-        stream_job.run_load_test(spark, args.queue_dir, args.output, **settings).show(truncate=False)
+        stream_job.run_load_test(spark, args.queue_dir, args.output, **reading).show(truncate=False)
         return
-    run = stream_job.StreamRun(args.queue_dir, args.output, **settings)
+    run = stream_job.StreamRun(
+        args.queue_dir,
+        args.output,
+        window_sec=args.window,
+        max_lag_sec=args.max_lag,
+        dedup_sec=args.dedup,
+        live_windows=args.live,
+        exact=not args.sketches,
+        recent_rows=args.recent,
+        **reading,
+    )
     if args.available:
         stream_job.run_available(spark, run)
     else:
