@@ -100,18 +100,12 @@ def values_at_ranks(
     values = _counted(_join(rows, chosen.select(*keys, "mid"), [*keys, "mid"]), [*keys, "mid"], F.col("v"), "v", "w")
     values = values.withColumn("before", _before([*keys, "mid"], "v"))
     picked = _join(values, chosen, [*keys, "mid"]).select("*", F.inline("picks"))
-    found = picked.transform(_holding)
-    picks = [F.max(F.when(F.col("pick") == name, F.col("v"))).alias(name) for name in ranks]
-    return _complete(found.groupBy(*keys).agg(*picks), chosen, keys, list(ranks))
-
-
-def _complete(found: DataFrame, chosen: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """Every key with every rank, or an error: the input was read twice and has to be the same each time."""
-    wanted = chosen.select(*keys).distinct()
-    found = found.withColumnsRenamed({k: f"found_{k}" for k in keys})
-    same = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"found_{k}")), keys, F.lit(True))
-    lost = F.raise_error("a rank was not found: the input changed between two reads").cast("bigint")
-    return wanted.join(found, same, "left").select(*keys, *[F.coalesce(n, lost).alias(n) for n in names])
+    found = picked.transform(_holding).select(*keys, "pick", "v")
+    # Every key comes out, with every rank or an error: the input was read twice and has to be the same each time.
+    asked = chosen.select(*keys, F.lit(None).cast("string").alias("pick"), F.lit(None).cast("bigint").alias("v"))
+    lost = F.raise_error(F.lit("a rank was not found: the input changed between two reads")).cast("bigint")
+    picks = [F.coalesce(F.max(F.when(F.col("pick") == name, F.col("v"))), lost).alias(name) for name in ranks]
+    return found.unionAll(asked).groupBy(*keys).agg(*picks)
 
 
 def floor_rank_percentiles(
