@@ -31,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The event table holds about one event per four minutes at the smallest scales, hence hours.
 WINDOW_SEC = 3600
 MAX_LAG_SEC = 600
+AHEAD_SEC = 0
 BUCKET_SEC = 3600
 RUN_START_S = 1_704_067_200
 RUN_SEC = 30 * 86_400
@@ -410,7 +411,7 @@ def _run_windows(spark: SparkSession, folder: str, writer) -> str:
     path = new_folder(spark, "stream-windows")
 
     def start(stream: DataFrame):
-        aggregates = stream_windows.window_aggregates(A.events_from_log(stream), WINDOW_SEC, MAX_LAG_SEC)
+        aggregates = stream_windows.window_aggregates(A.events_from_log(stream), WINDOW_SEC, MAX_LAG_SEC, AHEAD_SEC)
         return writer(aggregates, f"{path}/windows", f"{path}/checkpoint")
 
     _as_it_comes(spark, folder, path, start)
@@ -577,7 +578,7 @@ def stream_recent_summary(spark, folder):
 @query
 def stream_late(spark, folder):
     path = new_folder(spark, "stream-late")
-    rows = asides.set_aside(_event_stream(spark, folder), WINDOW_SEC, MAX_LAG_SEC)
+    rows = asides.set_aside(_event_stream(spark, folder), WINDOW_SEC, MAX_LAG_SEC, AHEAD_SEC)
     stream_windows.run_available(asides.append_writer(rows, f"{path}/asides", f"{path}/checkpoint"))
     return asides.late_per_window(spark.read.parquet(f"{path}/asides"))
 
@@ -601,7 +602,7 @@ def stream_resume(spark, folder):
     for arrived in (first_half, ~F.coalesce(first_half, F.lit(False))):
         log.where(arrived).write.mode("append").parquet(f"{path}/source")
         source = spark.readStream.schema(log.schema).parquet(f"{path}/source")
-        aggregates = stream_windows.window_aggregates(A.events_from_log(source), WINDOW_SEC, MAX_LAG_SEC)
+        aggregates = stream_windows.window_aggregates(A.events_from_log(source), WINDOW_SEC, MAX_LAG_SEC, AHEAD_SEC)
         stream_windows.run_available(
             stream_windows.updates_writer(aggregates, f"{path}/windows", f"{path}/checkpoint")
         )
@@ -624,6 +625,6 @@ def stream_dedup_events(spark, folder):
 @query
 def stream_progress(spark, folder):
     path = new_folder(spark, "stream-progress")
-    aggregates = stream_windows.window_aggregates(_event_stream(spark, folder), WINDOW_SEC, MAX_LAG_SEC)
+    aggregates = stream_windows.window_aggregates(_event_stream(spark, folder), WINDOW_SEC, MAX_LAG_SEC, AHEAD_SEC)
     writer = stream_windows.updates_writer(aggregates, f"{path}/windows", f"{path}/checkpoint")
     return progress_rows(spark, stream_windows.run_available(writer))

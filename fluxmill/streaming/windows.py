@@ -60,10 +60,12 @@ def is_ahead(ahead_sec: int) -> Column:
     return F.col("event_us") > F.col("receive_us") + F.lit(ahead_sec * MICROS)
 
 
-def window_aggregates(
-    events: DataFrame, window_sec: int = C.WINDOW_SEC, max_lag_sec: int = C.MAX_LAG_SEC, ahead_sec: int = 0
-) -> DataFrame:
-    """Aggregates per window. Late rows and rows from the future are left to streaming.asides."""
+def window_aggregates(events: DataFrame, window_sec: int, max_lag_sec: int, ahead_sec: int) -> DataFrame:
+    """Aggregates per window. Late rows and rows from the future are left to streaming.asides.
+
+    `ahead_sec` has no default: it says how far ahead of its receive time a stamp may be. Rows beyond
+    it are taken away here, so a run has to keep them with asides.set_aside and the same setting.
+    """
     rows = W.accepted(W.prepared(events, window_sec, max_lag_sec)).drop("window_start_s")
     delay = watermark_delay(window_sec, max_lag_sec, ahead_sec)
     percents = [p / 100 for p in C.PERCENTS]
