@@ -136,9 +136,3 @@ def test_pipeline(spark, small):
     assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
 
 
-def test_registered_queries_run(spark, small):
-    import __spark_entry__ as driver
-    from fluxmill.llm.queries import REGISTRY
-
-    assert {*REGISTRY, "pipeline"} <= set(driver.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
