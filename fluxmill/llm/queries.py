@@ -81,6 +81,18 @@ def op5_source_mix(spark, folder):
     return mixing.mix_documents(_table(spark, folder, "documents"))
 
 
+@query
+def mix_by_source_and_language(spark, folder):
+    """The mix of op5 where memberships overlap: each document counts for its source and for its language."""
+    docs = _table(spark, folder, "documents")
+    language = F.concat(F.lit("language "), F.coalesce("lang", F.lit("unknown")))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), mixing.n_words("text").alias("size"), F.array("source", language).alias("sources")
+    )
+    mixed, _ = mixing.mix(rows)
+    return mixed.select("doc_id", "size", F.col("sources")[0].alias("source"), F.col("sources")[1].alias("language"), "taken")
+
+
 @query
 def op6_substring_dedup(spark, folder):
     return substrings.repeat_digests(_table(spark, folder, "documents"))

@@ -67,7 +67,7 @@ def test_every_operator_is_registered():
     import __spark_entry__ as driver
 
     assert {*REGISTRY, "pipeline"} <= set(driver.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY if n.startswith("op")) == list(range(1, 14))
 
 
 def test_op1(spark, folder):
@@ -162,6 +162,22 @@ def test_op5(spark, folder):
     assert all(abs(taken - target) <= 3 for (_, target), taken in by_target.items())
 
 
+def test_overlapping_mix(spark, folder):
+    got = REGISTRY["mix_by_source_and_language"](spark, folder).collect()
+    assert sorted(((r.doc_id, r[1], r.source) for r in got), key=repr) == sorted(sizes(), key=repr)
+    groups, total = defaultdict(int), sum(n for _, n, _ in sizes())
+    for _, n, source in sizes():
+        groups[source] += n
+    names = sorted([*groups, "language en"], key=lambda s: (s is None, s or ""))
+    listed = [total if s == "language en" else groups[s] for s in names]
+    share = water_filling(listed, [(5, 2, 1)[i % 3] for i in range(len(names))])
+    quotas = [int(t * total / sum(listed)) for t in share]
+    patterns = sorted(((frozenset((names.index(s), names.index("language en"))), n) for s, n in groups.items()), key=lambda x: sorted(x[0]))
+    best = sum(map(sum, mixing.route(patterns, quotas)))
+    assert best - 12 * len(patterns) <= sum(r.taken for r in got) <= best
+    assert all(0 <= r.taken <= 3 * r[1] and r.language == "language en" for r in got)
+
+
 def without_repeats(texts):
     places = Counter(tuple(w[i : i + 35]) for w in texts for i in range(len(w) - 34))
     out = []
