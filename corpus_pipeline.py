@@ -45,8 +45,8 @@ STAGES = [
     ("source mixing", mixture),
 ]
 
-# A classifier, fuzzy matching and seeded hashes of words are beyond SQL. Tests compare the operators
-# of the stages with brute force on small rows, not the result of run().
+# A classifier, fuzzy matching and seeded hashes of words are beyond SQL. tests/llm/test_queries_on_rows.py compares
+# the rows of run() with brute force, the fitted classifier taken as given.
 ORACLE_SQL = None
 
 
