@@ -21,7 +21,7 @@ from fluxmill.workspace import stored
 
 TOP = 10
 BLOCK_CHARS = 4_000_000
-CELLS = 2_000_000  # scores a task holds at a time
+CELLS = 1_000_000  # scores, and postings, that a task holds at a time
 # Bytes of terms: digits, letters (A-Z to lower case) and all of characters beyond ASCII.
 TERM_BYTES = bytes(b if bytes([b]).isalnum() or b >= 0x80 else 0x20 for b in range(256)).lower()
 HALF = 1 << 20
@@ -126,6 +126,13 @@ class Heaps:
         return [(i, score, -doc if known else None) for i, heap in enumerate(self.heaps) for score, known, doc in heap]
 
 
+def _stretches(cost: np.ndarray) -> list[tuple[int, int]]:
+    """Documents in stretches with CELLS postings or little more; one with more is a stretch of its own."""
+    part = np.cumsum(cost) // CELLS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(cost)]
+    return list(zip(cuts, cuts[1:])) if len(cost) else []
+
+
 def _ranked(shared, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, weight, documents, length = shared.value
@@ -138,7 +145,11 @@ def _ranked(shared, top: int):
             document = np.repeat(np.arange(batch.num_rows), held.value_lengths().to_numpy())
             scale = 25 + 75 * n * documents // length
             value = weight[term] * (1_000_000_000 * times // (1000 * times + 8 * scale[document]))
-            heaps.add(index.scores(document, term, value, batch.num_rows), batch.column(0).to_pylist())
+            ids = batch.column(0).to_pylist()
+            for a, b in _stretches(np.bincount(document, index.width[term], batch.num_rows)):
+                low, high = np.searchsorted(document, [a, b])
+                found = index.scores(document[low:high] - a, term[low:high], value[low:high], b - a)
+                heaps.add(found, ids[a:b])
         rows = heaps.rows()
         columns = [pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1, 2)]
         yield pa.RecordBatch.from_arrays(columns, ["item", "score", "doc_id"])
