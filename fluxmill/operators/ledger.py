@@ -14,7 +14,7 @@ from fluxmill.operators.imputation import cast_users
 from fluxmill.operators.profiles import merged_profile, partials
 from fluxmill.schemas import struct
 from fluxmill.sources import versions as V
-from fluxmill.workspace import stored
+from fluxmill.workspace import scratch, stored
 
 FILE = ["file", "modified_us", "size"]
 LEDGER = struct(
@@ -65,6 +65,11 @@ def update_ledger(spark: SparkSession, source: str, path: str) -> int:
 
     One writer at a time. The names of new files pass through the driver, as those of any read do.
     """
+    with scratch(spark, "ledger"):
+        return _update(spark, source, path)
+
+
+def _update(spark: SparkSession, source: str, path: str) -> int:
     held = V.read_versions(spark, LEDGER, path)
     files = stored(_files(spark, source), "files")
     new = [row.path for row in files.join(held, FILE, "left_anti").select("path").collect()]

@@ -23,7 +23,7 @@ from fluxmill.sources.tables import write_report
 from fluxmill.streaming import asides, published, recent, rollup, sketches
 from fluxmill.streaming import windows as live
 from fluxmill.streaming.progress import progress_rows
-from fluxmill.workspace import remove
+from fluxmill.workspace import remove, scratch
 
 BACKLOG_BUCKET_SEC = 1
 CONSUMED_FILES = 10_000
@@ -132,10 +132,10 @@ def _finished(spark: SparkSession, run: StreamRun, queries: dict[str, StreamingQ
         progress_rows(spark, query).withColumn("query", F.lit(name)) for name, query in queries.items()
     ]
     write_report(reduce(DataFrame.unionByName, progress), run.path("progress"))
-    _tables(run).read_windows(spark, run.path("rollup"), run.window_sec).write.mode("overwrite").json(
-        run.path("window_metrics")
-    )
-    write_report(summary(spark, run), run.path("summary"))
+    with scratch(spark, "reports"):
+        windows = _tables(run).read_windows(spark, run.path("rollup"), run.window_sec)
+        windows.write.mode("overwrite").json(run.path("window_metrics"))
+        write_report(summary(spark, run), run.path("summary"))
 
 
 def summary(spark: SparkSession, run: StreamRun) -> DataFrame:
@@ -253,6 +253,7 @@ def run_load_test(
     lines = land_load_lines(spark, source, output, **settings)
     if rates:
         lines = lines.where(F.col("target_rate").isin(rates))
-    report = reports.load_levels(EF.load_events(lines), BACKLOG_BUCKET_SEC)
-    write_report(report, f"{output}/load_levels")
+    with scratch(spark, "load-levels"):
+        report = reports.load_levels(EF.load_events(lines), BACKLOG_BUCKET_SEC)
+        write_report(report, f"{output}/load_levels")
     return spark.read.schema(LOAD_LEVELS).json(f"{output}/load_levels")

@@ -87,7 +87,7 @@ def compact(
     before: int,
     fanout: int = FANOUT,
 ) -> bool:
-    """Merge the batches before `before` once there are `fanout` (2 or more) of them; whether it did.
+    """Merge the batches before `before`, whenever that is a multiple of `fanout` (2 or more); whether it did.
 
     `merge` turns rows of the schema into fewer rows that mean the same. As many merged folders of
     one size are merged again, so a row is rewritten with the logarithm of the batches and about
@@ -96,9 +96,11 @@ def compact(
     What a merge leaves behind is deleted by the one after the next, so a reader has the time of one
     merge to the next to finish.
     """
+    if before <= 0 or before % fanout:
+        return False
     manifests = _manifests(spark, path)
     live = manifests[0]
-    if before - 1 - live.upto < fanout:
+    if live.upto >= before - 1:  # the batch is replayed
         return False
     every = _with_batch(schema)
     rows = spark.read.schema(every).parquet(path).where(F.col(BATCH).between(live.upto + 1, before - 1))

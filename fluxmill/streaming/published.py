@@ -19,7 +19,7 @@ from fluxmill.functions.events import MICROS
 from fluxmill.schemas import WINDOW_METRICS, struct
 from fluxmill.sources import versions as V
 from fluxmill.streaming import rollup, sketches
-from fluxmill.workspace import stored
+from fluxmill.workspace import scratch, stored
 
 LOG = struct(
     window_start_s="long",
@@ -68,8 +68,16 @@ def publish_batch(
 
     `exact` false: rollup_path holds the tables of streaming.sketches.
     Receive times may go back from batch to batch: an event accepted for a published window replaces
-    its row as well. Work per batch follows the windows touched, not those published before.
+    its row as well. Work per batch follows the windows touched, not those published before. Its
+    scratch tables go at its end.
     """
+    with scratch(rows.sparkSession, "publish"):
+        _publish(rows, rollup_path, path, batch_id, window_sec, max_lag_sec, rollup if exact else sketches)
+
+
+def _publish(
+    rows: DataFrame, rollup_path: str, path: str, batch_id: int, window_sec: int, max_lag_sec: int, tables
+) -> None:
     spark = rows.sparkSession
     earlier = _marks(spark, path).where(F.col(V.BATCH) < batch_id)
     before = earlier.agg(F.max("clock_us").alias("clock_us"), F.max("final_s").alias("final_s")).first()
@@ -80,7 +88,6 @@ def publish_batch(
     final = None if clock is None else clock // MICROS - wait
     start = F.col("window_start_s")
     touched = rows.select("window_start_s").where(start <= F.lit(before.final_s)).distinct()
-    tables = rollup if exact else sketches
     closing = rollup.read_table(spark, rollup_path, "sums").select("window_start_s").where(start <= F.lit(final))
     if before.final_s is not None:
         closing = closing.where(start > before.final_s)

@@ -16,6 +16,7 @@ from fluxmill.operators.percentiles import as_ms, floor_rank_percentiles
 from fluxmill.schemas import struct
 from fluxmill.sources import versions as V
 from fluxmill.streaming import rollup, sketches
+from fluxmill.workspace import scratch
 
 RECENT = struct(event_id="string", receive_us="long", latency_us="long")
 
@@ -27,8 +28,9 @@ def start_recent(spark: SparkSession, path: str) -> None:
 def add_batch(events: DataFrame, path: str, batch_id: int, rows: int) -> None:
     """Add the latest rows of a micro-batch; those without a usable stamp have no latency and are left out."""
     good = events.where("stamp_ok") if "stamp_ok" in events.columns else events
-    latest = reports.recent_latency(good.withColumn("event_id", F.col("event_id").cast("string")), rows)
-    V.write_version(latest, path, batch_id)
+    with scratch(events.sparkSession, "recent"):
+        latest = reports.recent_latency(good.withColumn("event_id", F.col("event_id").cast("string")), rows)
+        V.write_version(latest, path, batch_id)
 
 
 def _latest(table: DataFrame, rows: int) -> DataFrame:

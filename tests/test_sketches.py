@@ -9,7 +9,7 @@ from eventdata import START_US, frame, random_events
 from fluxmill.operators import reports
 from fluxmill.operators import windows as W
 from fluxmill.plans import stream_job
-from fluxmill.streaming import recent, rollup, sketches
+from fluxmill.streaming import published, recent, rollup, sketches
 from fluxmill.workspace import new_folder
 from test_streaming import event_text, queue
 
@@ -118,6 +118,26 @@ def test_stream_run_with_sketches_and_recent_rows(spark, tmp_path):
     assert report.late_count == 8
 
 
+def test_published_windows_from_sketches(spark):
+    rows = sorted(random_events(300, span_sec=300), key=lambda r: r["receive_us"])
+    path = new_folder(spark, "test-sketch-published")
+    sketches.start_sketches(spark, f"{path}/tables")
+    published.start_published(spark, f"{path}/published")
+    for number in range(3):
+        batch = rollup.batch_rows(frame(spark, rows[number * 100 : number * 100 + 100]), 30, 10).persist()
+        sketches.add_batch(batch, f"{path}/tables", number)
+        published.publish_batch(batch, f"{path}/tables", f"{path}/published", number, 30, 10, exact=False)
+        batch.unpersist()
+    clock = rows[-1]["receive_us"]
+    want = {k: v for k, v in bruteforce.windows(rows, 30, 10).items() if (k + 60) * 1_000_000 <= clock}
+    got = published.read_published(spark, f"{path}/published").withColumn("start", F.unix_seconds(F.to_timestamp("window_start")))
+    for r in got.collect():
+        exact = want.pop(r.start)
+        assert (r.message_count, r.late_count, r.unique_users) == (exact["message_count"], exact["late_count"], exact["unique_users"])
+        assert r.latency_max_ms == exact["latency_max_ms"]
+    assert not want
+
+
 def test_window_report_of_no_accepted_event(spark):
     rows = [{**r, "receive_us": r["event_us"] + 10**9} for r in random_events(20)]
     path = new_folder(spark, "test-sketch-late")

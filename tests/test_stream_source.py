@@ -2,7 +2,6 @@
 
 from collections import Counter
 from datetime import datetime, timedelta
-from pathlib import Path
 
 import pytest
 from fluxmill.plans import queries as Q
@@ -10,7 +9,6 @@ from fluxmill.schemas import EVENT_LOG
 from fluxmill.sources import adapters as A
 from fluxmill.sources import tables
 from fluxmill.streaming import asides
-from fluxmill.streaming import windows as stream_windows
 
 
 def event(spark, event_id, ts):
@@ -29,25 +27,23 @@ def folder(spark, tmp_path):
 
 
 def test_every_row_once(spark, folder, tmp_path):
-    events = Q._in_batches(spark, folder).select("event_id", "event_us", "receive_us")
-    writer = asides.append_writer(events, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    stream_windows.run_available(writer)
+    def start(stream):
+        events = A.events_from_log(stream).select("event_id", "event_us", "receive_us")
+        return asides.append_writer(events, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+
+    Q._as_it_comes(spark, folder, str(tmp_path), start)
     got = Counter(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()))
     log = tables.read_event_log(spark, folder)
     assert got == Counter(map(tuple, A.events_from_log(log).select("event_id", "event_us", "receive_us").collect()))
     assert sum(got.values()) == 267
 
 
-def test_files_follow_the_receive_time(spark, folder, tmp_path):
-    n = Q._write_in_order(spark, tables.read_event_log(spark, folder), f"{tmp_path}/source", rows_per_file=30)
-    files = sorted(Path(f"{tmp_path}/source").glob("part-*"), key=lambda file: file.stat().st_mtime)
-    assert n == len(files) and 4 < n <= 9
-    times = []
-    for file in files:
-        rows = A.events_from_log(spark.read.parquet(str(file))).select("receive_us").collect()
-        assert 0 < len(rows) < 120
-        times.append([-1 if r.receive_us is None else r.receive_us for r in rows])
-    assert all(max(before) <= min(after) for before, after in zip(times, times[1:]))
+def test_parts_follow_the_receive_time(spark, folder):
+    part = Q._receive_part(spark, folder, 5)
+    rows = tables.read_event_log(spark, folder).select(part.alias("part"), A.receive_time_us().alias("us")).collect()
+    times = [[-1 if r.us is None else r.us for r in rows if r.part == n] for n in range(5)]
+    assert sum(map(len, times)) == 267 and all(times)
+    assert all(max(before) < min(after) for before, after in zip(times, times[1:]))
 
 
 @pytest.mark.parametrize("name", ["stream_window_metrics", "stream_closed_windows", "stream_dedup_events"])
