@@ -4,7 +4,8 @@
     path-merged/LOW-HIGH        rows of the batches LOW to HIGH, merged
     path-manifest/generation=G  one row: batches up to `upto` are to be read from `segments`
 
-A reader takes the newest manifest, the merged folders it names and the batches after `upto`. A
+Numbers only grow: the table belongs to one stream and its checkpoint, and a stream that begins anew
+needs a new table. A reader takes the newest manifest, the merged folders it names and the batches after `upto`. A
 manifest is one file, which appears as a whole, so readers see a merge completely or not at all. Once
 merged, a batch folder counts no more, whatever a replay writes into it.
 """
@@ -116,8 +117,11 @@ def compact(
     segments.append((first, before - 1, level))
 
     now = Live(before - 1, tuple(segments), live.generation + 1)
-    row = spark.createDataFrame([(now.upto, list(now.segments))], T.StructType(MANIFEST.fields[:2]))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}-manifest/generation={now.generation}")
+    listed = F.array(*[F.struct(*map(F.lit, segment)) for segment in now.segments])
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(now.upto).cast("bigint").alias("upto"), listed.cast(MANIFEST["segments"].dataType).alias("segments")
+    )
+    row.write.mode("overwrite").parquet(f"{path}-manifest/generation={now.generation}")
     _clear(spark, path, now, manifests)
     return True
 

@@ -46,7 +46,7 @@ def as_report(spark, path):
 def test_published_windows_are_the_final_ones(spark, max_lag, replay, fanout):
     rows = random_events(500, span_sec=500)
     path = new_folder(spark, "test-published")
-    receive_ordered(spark, f"{path}/in", rows, 5)
+    receive_ordered(spark, f"{path}/in", rows, 4)
     run(spark, path, max_lag, replay, fanout)
     expected = final(rows, max_lag)
     assert len(expected) > 3

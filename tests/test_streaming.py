@@ -189,7 +189,7 @@ def test_stream_run_over_event_files(spark, tmp_path):
 def test_consuming_run(spark, tmp_path):
     for start in (0, 5, 10):
         queue(tmp_path / "q", [event_text(start + i) for i in range(5)], start=start)
-        run = stream_job.StreamRun(str(tmp_path / "q"), str(tmp_path / "out"), consume=True, files_per_trigger=2)
+        run = stream_job.StreamRun(str(tmp_path / "q"), str(tmp_path / "out"), consume=True, files_per_trigger=2, publish=False)
         stream_job.run_available(spark, run)
     assert stream_job.summary(spark, run).first().total_processed == 15
     assert len(os.listdir(tmp_path / "q")) < 15
