@@ -48,6 +48,11 @@ def merged_profile(parts: DataFrame) -> DataFrame:
     return parts.groupBy("region").agg(*[by_suffix.get(c.rsplit("_")[-1], F.sum)(c).alias(c) for c in names])
 
 
+def profile_rows(profile: DataFrame) -> int:
+    """How many rows a profile was fitted on."""
+    return profile.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
 def profile_stats(profile: DataFrame) -> DataFrame:
     """The global statistics row, from the partials."""
     return profile.agg(

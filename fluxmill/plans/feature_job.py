@@ -5,12 +5,11 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fluxmill.operators.imputation import cast_users
-from fluxmill.operators.profiles import fit_profile
+from fluxmill.operators.profiles import fit_profile, profile_rows
 from fluxmill.operators.reports import run_metrics
-from fluxmill.plans.feature_table import transform
+from fluxmill.plans.feature_table import dealt_partitions, transform
 from fluxmill.sources.tables import write_features, write_report
 from fluxmill.workspace import scratch
 
@@ -28,12 +27,13 @@ def run_feature_job(
     started = time.time()
     with scratch(spark, "feature-job"):
         profile = fit_profile(cast_users(users))
-        write_features(transform(users, profile, partitions), f"{output}/features")
+        input_rows = profile_rows(profile)
+        files = dealt_partitions(partitions, input_rows) if partitions else None
+        write_features(transform(users, profile, files, input_rows), f"{output}/features")
         seconds = time.time() - started
-        input_rows = profile.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     output_rows = spark.read.parquet(f"{output}/features").count()
     report = run_metrics(
-        spark, mode, partitions or spark.sparkContext.defaultParallelism, input_rows, output_rows, seconds
+        spark, mode, files or spark.sparkContext.defaultParallelism, input_rows, output_rows, seconds
     )
     write_report(report, f"{output}/metrics")
     return report

@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", default="data/", help="parquet directory of users")
     parser.add_argument("--output", default="output/", help="receives features/ and metrics/")
-    parser.add_argument("--partitions", type=int, default=None, help="balance the output into N files (a shuffle)")
+    parser.add_argument("--partitions", type=int, default=None, help="balance the output into N files, more for a large table (a shuffle)")
     parser.add_argument("--mode", default="distributed", help="label for the run report")
     args = parser.parse_args(argv)
 

@@ -171,3 +171,18 @@ def test_feature_job_writes_and_counts(spark):
     assert spark.read.json(f"{output}/metrics").first().input_rows == 3
     run_feature_job(df.limit(1), output)
     assert spark.read.parquet(f"{output}/features").count() == 1
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("fluxmill.plans.feature_table.ROWS_PER_PARTITION", 10, raising=False)
+    df = users(spark, *[{"region": "west" if i % 3 else None, "income": float(i)} for i in range(95)])
+    profile_of_one = fit_profile(df.limit(1))
+    for dealt in (feature_table(df, 4), transform(df, profile_of_one, 4)):
+        sizes = dealt.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len(sizes) == 10 and sum(r.n for r in sizes) == 95
+        assert max(r.n for r in sizes) <= 10 + df.rdd.getNumPartitions()
+    assert feature_table(df, 12).rdd.getNumPartitions() == 12
+    assert by_id(feature_table(df, 4), *FEATURE_COLUMNS) == by_id(feature_table(df), *FEATURE_COLUMNS)
+    output = new_folder(spark, "test-dealt")
+    assert run_feature_job(df, output, partitions=4).first().partitions == 10
+    assert len(spark.read.parquet(f"{output}/features").inputFiles()) == 10
