@@ -8,7 +8,7 @@ in memory per window; late rows are counted beside the others. Old batches are m
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,15 +103,20 @@ def start_rollup(spark: SparkSession, path: str) -> None:
         V.start_versions(spark, schema, f"{path}/{name}")
 
 
-def batch_rows(events: DataFrame, window_sec: int = C.WINDOW_SEC, max_lag_sec: int = C.MAX_LAG_SEC) -> DataFrame:
-    """Events as add_batch takes them."""
+def batch_rows(
+    events: DataFrame, window_sec: int = C.WINDOW_SEC, max_lag_sec: int = C.MAX_LAG_SEC, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Events as add_batch takes them, with the columns `keep` beside."""
     if "stamp_ok" not in events.columns:
         events = events.withColumn("stamp_ok", F.lit(True))
-    return W.prepared(events, window_sec, max_lag_sec).select(*EVENT_COLUMNS)
+    return W.prepared(events, window_sec, max_lag_sec).select(*keep, *EVENT_COLUMNS)
 
 
 def add_batch(rows: DataFrame, path: str, batch_id: int, bucket_sec: int) -> None:
-    """Add the prepared rows of one micro-batch; doing so again replaces what it added."""
+    """Add the prepared rows of one micro-batch; doing so again replaces what it added.
+
+    They are read once for each table, so persist them when they are costly to make (parsed text).
+    """
     V.write_version(sums_of(rows), f"{path}/sums", batch_id)
     V.write_version(_users(rows), f"{path}/users", batch_id)
     V.write_version(_latency(rows), f"{path}/latency", batch_id)

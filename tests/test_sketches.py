@@ -1,14 +1,17 @@
 """Sketched window reports and recent latencies on streams against exact ones."""
 
+import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import bruteforce
 from eventdata import START_US, frame, random_events
 from fluxmill.operators import reports
 from fluxmill.operators import windows as W
-from fluxmill.plans import stream_job
+from fluxmill.plans import queries, stream_job
+from fluxmill.schemas import EVENT_LOG
 from fluxmill.streaming import published, recent, rollup, sketches
 from fluxmill.workspace import new_folder
 from test_streaming import event_text, queue
@@ -118,6 +121,31 @@ def test_stream_run_with_sketches_and_recent_rows(spark, tmp_path):
     assert report.late_count == 8
 
 
+@pytest.mark.parametrize("name", ["stream_recent_summary", "stream_recent_latency"])
+def test_rows_of_a_batch_are_made_once_for_all_tables(spark, tmp_path, monkeypatch, name):
+    start = datetime.datetime(2024, 1, 1)
+    log = [
+        (i, None if i % 13 == 2 else start + datetime.timedelta(minutes=7 * i), i % 5, "click", 1.0, None) for i in range(120)
+    ]
+    spark.createDataFrame([*log, (None, None, None, None, None, None)], EVENT_LOG).write.parquet(f"{tmp_path}/events.parquet")
+    held, seen = [], []
+    for module in (rollup, recent):
+
+        def spied(rows, *rest, add=module.add_batch):
+            held.append(rows.storageLevel.useMemory)
+            seen.append(rows)
+            return add(rows, *rest)
+
+        monkeypatch.setattr(module, "add_batch", spied)
+    result = queries.REGISTRY[name](spark, str(tmp_path)).collect()
+    assert held == [True] * 2 * queries.STREAM_PARTS
+    assert not any(rows.storageLevel.useMemory for rows in seen)  # and are let go
+    if name == "stream_recent_summary":
+        assert result[0].total_processed + result[0].total_errors == 121
+    else:
+        assert len(result) == 110  # those with a receive time
+
+
 def test_published_windows_from_sketches(spark):
     rows = sorted(random_events(300, span_sec=300), key=lambda r: r["receive_us"])
     path = new_folder(spark, "test-sketch-published")
